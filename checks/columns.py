@@ -22,8 +22,10 @@ from postlake.operators.project import (
     derive_comments,
     entities_json,
     project_row,
+    row_as_struct,
     split_valid,
     stamp_asof,
+    truncate_bodies,
 )
 from postlake.schemas import REDDIT, TWITTER
 
@@ -77,7 +79,7 @@ def q_project_tweet_row(t):
         FROM cc LEFT JOIN cut ON cc.id = cut.id""",
 )
 def q_project_comment_row(t):
-    rows = project_row(clean_bodies(derive_comments(t.comments, ASOF)), REDDIT)
+    rows = project_row(truncate_bodies(clean_bodies(derive_comments(t.comments, ASOF))), REDDIT)
     return ntz(rows, "datetime", "update_datetime", "author_datetime")
 
 
@@ -160,7 +162,7 @@ def q_normalize_text(t):
         SELECT c.id AS doc_id, coalesce(short, body) AS text FROM clean c LEFT JOIN cut ON c.id = cut.id""",
 )
 def q_truncate_sentences(t):
-    return clean_bodies(t.table("documents").select("doc_id", "text"), "text")
+    return truncate_bodies(clean_bodies(t.table("documents").select("doc_id", "text"), "text"), "text")
 
 
 @check(
@@ -200,8 +202,6 @@ def q_entities_json(t):
           ',"kind":"' || kind || '"}}' AS row FROM posts""",
 )
 def q_row_as_struct(t):
-    from postlake.operators.project import row_as_struct
-
     rows = row_as_struct(t.posts.select("id", "lang", "score", "kind"))
     return rows.select("row.id", F.to_json("row").alias("row"))
 

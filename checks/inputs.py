@@ -12,6 +12,7 @@ from postlake.functions.times import derive_calendar
 from postlake.operators.flatten import flatten_comments
 from postlake.operators.match import match_symbols
 from postlake.operators.project import clean_bodies, derive_tweets
+from postlake.operators.sizing import compute_once, spread_scan
 from postlake.plans.comments import comment_symbol_terms
 from postlake.plans.tweets import tweet_symbol_terms
 from postlake.sources.responses import parse_comment_pages, parse_tweet_responses
@@ -20,6 +21,9 @@ from postlake.sources.symbols import dictionary_words, last_wins, parse_symbol_l
 ASOF = "2024-01-31 00:00:00"
 START = "2024-01-01 00:00:00"
 CUTOFF = "2024-01-16 00:00:00"
+# Every tenth event belongs to a document and they come first, so ten times their distance from the
+# start spreads the posts over the month.
+SPREAD = 10
 CONTEXT = ("for", "was")
 USERS = 150
 
@@ -71,9 +75,10 @@ def truncate_sql(cte: str) -> str:
       FROM running WHERE before <= 2000 GROUP BY id)"""
 
 
-POSTS_SQL = """
+POSTS_SQL = f"""
   posts AS (
-    SELECT CAST(d.doc_id AS VARCHAR) AS id, d.doc_id AS n, d.text AS body, d.lang, d.source, e.ts,
+    SELECT CAST(d.doc_id AS VARCHAR) AS id, d.doc_id AS n, d.text AS body, d.lang, d.source,
+           TIMESTAMP '{START}' + to_microseconds((epoch_us(e.ts) - epoch_us(TIMESTAMP '{START}')) * {SPREAD}) AS ts,
            e.user_id AS u, CAST(floor(e.value) AS INTEGER) AS score, e.event_type AS kind
     FROM documents d JOIN events e ON d.doc_id = e.event_id)"""
 
@@ -209,6 +214,11 @@ COMMENTS_SQL = f"""
 PAIRS_SQL = f"{POSTS_SQL}, {POST_TERMS_SQL}, {COMMENTS_SQL}"
 
 
+def spread_time(ts: Column) -> Column:
+    start = F.unix_micros(F.lit(START).cast("timestamp"))
+    return F.timestamp_micros(start + (F.unix_micros(ts.cast("timestamp")) - start) * SPREAD)
+
+
 class Inputs:
     """Derived tables of one data folder."""
 
@@ -221,14 +231,14 @@ class Inputs:
 
     @cached_property
     def posts(self) -> DataFrame:
-        d, e = self.table("documents"), self.table("events")
+        d, e = spread_scan(self.table("documents")), self.table("events")
         return d.join(e, d.doc_id == e.event_id).select(
             d.doc_id.cast("string").alias("id"),
             d.doc_id.alias("n"),
             d.text.alias("body"),
             "lang",
             "source",
-            e.ts.cast("timestamp").alias("ts"),
+            spread_time(e.ts).alias("ts"),
             e.user_id.alias("u"),
             F.floor("value").cast("int").alias("score"),
             e.event_type.alias("kind"),
@@ -236,7 +246,7 @@ class Inputs:
 
     @cached_property
     def clean_posts(self) -> DataFrame:
-        return clean_bodies(self.posts, truncate=False).withColumnRenamed("ts", "datetime")
+        return clean_bodies(self.posts).withColumnRenamed("ts", "datetime")
 
     # Symbol master and dictionary
 
@@ -459,9 +469,7 @@ class Inputs:
         return self._as_captured(response)
 
     def _as_captured(self, response: Column) -> DataFrame:
-        """JSON text per post. The one-element explode keeps later filters from being pushed below the
-        rendering, which would render and parse each text several times."""
-        return self.posts.select(F.explode(F.array(F.to_json(response))).alias("value"))
+        return compute_once(self.posts, "value", F.to_json(response)).select("value")
 
     @cached_property
     def responses(self) -> DataFrame:

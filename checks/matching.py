@@ -26,6 +26,7 @@ from checks.inputs import (
 )
 from checks.reading import COMMENTS_RAW_SQL
 from checks.registry import check
+from postlake.functions.text import normalize_text
 from postlake.functions.times import slice_start
 from postlake.operators.enrich import (
     comment_terms,
@@ -43,7 +44,7 @@ from postlake.operators.match import (
     match_symbols,
     term_document_counts,
 )
-from postlake.operators.project import clean_bodies
+from postlake.operators.project import truncate_bodies
 from postlake.plans.comments import tag_comments
 from postlake.plans.tweets import tag_tweets
 
@@ -56,8 +57,6 @@ _NAMED = f"{ALL_SYMBOLS_SQL}, {DICTIONARY_SQL}"
         FROM (SELECT unnest(string_split({squeeze_sql('longName')}, ' ')) AS word FROM symbols) w""",
 )
 def q_in_dictionary(t):
-    from postlake.functions.text import normalize_text
-
     words = t.symbols.select(F.explode(F.split(normalize_text(F.col("longName")), " ")).alias("word")).distinct()
     return in_dictionary(words, "word", t.dictionary)
 
@@ -69,8 +68,7 @@ def q_in_dictionary(t):
         FROM symbols y LEFT JOIN tl ON y.longName = tl.full_name LEFT JOIN ts ON y.shortName = ts.full_name""",
 )
 def q_trim_company_name(t):
-    named = trim_company_names(t.symbols, "longName", t.dictionary, "long_trimmed")
-    return trim_company_names(named, "shortName", t.dictionary, "short_trimmed")
+    return trim_company_names(t.symbols, {"longName": "long_trimmed", "shortName": "short_trimmed"}, t.dictionary)
 
 
 @check("company_name", f"WITH {_NAMED}, {COMPANY_SQL} SELECT * FROM company")
@@ -166,7 +164,7 @@ _TRUNCATED = f"""{PAIRS_SQL}, {truncate_sql("clean")},
     f"WITH {_TRUNCATED} SELECT symbol, id, length(body) AS n_chars FROM tpairs WHERE {keep_sql('body', CONTEXT)}",
 )
 def q_false_positive_filter(t):
-    kept = drop_false_positives(clean_bodies(t.pairs), "body", CONTEXT)
+    kept = drop_false_positives(truncate_bodies(t.pairs), "body", CONTEXT)
     return kept.select("symbol", "id", F.length("body").cast("bigint").alias("n_chars"))
 
 
@@ -177,7 +175,7 @@ def q_false_positive_filter(t):
         FROM tpairs GROUP BY symbol""",
 )
 def q_false_positive_counts(t):
-    return false_positive_counts(clean_bodies(t.pairs), "body")
+    return false_positive_counts(truncate_bodies(t.pairs), "body")
 
 
 @check(
@@ -187,7 +185,7 @@ def q_false_positive_counts(t):
 def q_false_positive_match_list(t):
     """The same filter with the match texts held in an array."""
     texts = match_list(F.col("shortName"), F.col("longName"), F.col("name"))
-    pairs = clean_bodies(t.pairs)
+    pairs = truncate_bodies(t.pairs)
     return pairs.where(is_true_match_in(F.col("body"), F.col("symbol"), texts)).select("symbol", "id")
 
 
@@ -198,7 +196,7 @@ def q_false_positive_match_list(t):
         FROM tpairs WHERE {keep_sql('body', CONTEXT)} GROUP BY ALL""",
 )
 def q_symbol_slices(t):
-    kept = drop_false_positives(clean_bodies(t.pairs), "body", CONTEXT)
+    kept = drop_false_positives(truncate_bodies(t.pairs), "body", CONTEXT)
     placed = kept.withColumn("slice_start", slice_start(F.col("datetime"), F.lit(START).cast("timestamp")))
     stats = placed.groupBy("symbol", "slice_start").agg(
         F.count(F.lit(1)).alias("n_posts"),

@@ -51,7 +51,7 @@ for _name, _where, _options in [
     ("tw_geo", f"{_DISTANCE} <= {_GEO_KM}", {"geo": f"{_GEO_LAT}, {_GEO_LON}, {_GEO_KM:.0f}km"}),
     ("tw_search", f"contains({_PADDED}, ' of the ') OR contains({_PADDED}, ' les ')", {"search": ["of the", "Les"]}),
     ("tw_verified", "verified", {"is_verified": True}),
-    ("tw_to", "lower(reply_name) = 'user_9'", {"to": "user_9"}),
+    ("tw_to", "lower(reply_name) = 'user_10'", {"to": "user_10"}),
     ("tw_all", "lower(reply_name) = 'user_7' OR lower(screen_name) = 'user_7' OR lower(mention) = 'user_7'",
      {"all": "User_7"}),
     ("tw_near", "contains(lower(place), 'springfield, de')", {"near": "Springfield, de"}),
@@ -85,7 +85,7 @@ for _name, _where, _options in [
           AND (contains(padded, ' of the ') OR contains(padded, ' que '))""",
 )
 def q_comment_search(t):
-    comments = clean_bodies(derive_comments(t.comments, CUTOFF), truncate=False)
+    comments = clean_bodies(derive_comments(t.comments, CUTOFF))
     return CommentFilter(since=START, until=CUTOFF, search=["of the", "que"]).apply(comments).select(
         "id", "body", "score"
     )

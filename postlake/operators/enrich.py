@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.text import normalize_text
+from postlake.operators.sizing import broadcast_if_small
 
 # Words a company name is trimmed of, and context words of ambiguous names.
 ARTICLES = ("a", "an", "the")
@@ -33,15 +34,19 @@ def _first_pos(words: str, test) -> Column:
     return F.array_min(F.transform(F.filter(words, test), lambda w: w["pos"]))
 
 
-def trim_company_names(names: DataFrame, column: str, dictionary: DataFrame, out: str) -> DataFrame:
-    """Add ``out``, the searchable core of each company name, or NULL when nothing usable is left.
+def trim_company_names(names: DataFrame, columns: dict[str, str], dictionary: DataFrame) -> DataFrame:
+    """Add the searchable core of company names, or NULL when nothing usable is left; ``columns`` maps
+    name columns to the columns to add.
 
     The words before the first comma count. Leading articles go, so does everything from the first
     dictionary word that follows a non-dictionary word (not counting the name's first word), and a
     closing company form. A short core that is a dictionary word gives way to the full name, unless
     that is a word too. Works once per distinct name.
     """
-    full = names.select(F.col(column).alias("full")).where(F.col("full").isNotNull()).distinct()
+    dictionary, _ = broadcast_if_small(dictionary)
+    full = (
+        names.select(F.explode(F.array(*columns)).alias("full")).where(F.col("full").isNotNull()).distinct()
+    )
     words = full.select(
         "full",
         F.posexplode(F.split(normalize_text(F.lower(F.substring_index("full", ",", 1))), " ")).alias("pos", "word"),
@@ -70,10 +75,12 @@ def trim_company_names(names: DataFrame, column: str, dictionary: DataFrame, out
     plain_full = F.replace(F.replace(F.lower("full"), F.lit("."), F.lit("")), F.lit(","), F.lit(""))
     ambiguous = (F.length("core") < SHORT_NAME + 1) & F.col("core_is_word")
     name = F.when(~ambiguous, F.col("core")).when(~F.col("full_is_word"), plain_full)
-    trimmed = judged.select(
-        F.col("full").alias("_full"), F.when(F.length(name) >= MIN_NAME, name).alias(out)
-    )
-    return names.join(trimmed, F.col(column) == F.col("_full"), "left").drop("_full")
+    trimmed = judged.select("full", F.when(F.length(name) >= MIN_NAME, name).alias("trimmed"))
+    out = names
+    for column, target in columns.items():
+        found = trimmed.select(F.col("full").alias("_full"), F.col("trimmed").alias(target))
+        out = out.join(found, F.col(column) == F.col("_full"), "left").drop("_full")
+    return out
 
 
 def company_names(symbols: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -81,9 +88,7 @@ def company_names(symbols: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     When both exist, one with a parenthesis loses to the other; the short one is looked at first.
     """
-    both = trim_company_names(
-        trim_company_names(symbols, "longName", dictionary, "_long"), "shortName", dictionary, "_short"
-    )
+    both = trim_company_names(symbols, {"longName": "_long", "shortName": "_short"}, dictionary)
     use_short = F.col("_long").isNull() | (~F.contains("_short", F.lit("(")) & F.contains("_long", F.lit("(")))
     name = F.when(F.coalesce(use_short, F.lit(False)), F.col("_short")).otherwise(F.col("_long"))
     return both.withColumn("name", F.coalesce(name, "_long", "symbol")).drop("_long", "_short")

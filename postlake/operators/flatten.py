@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.times import date_time_text, parse_tweet_time
+from postlake.operators.sizing import compute_once
 from postlake.schemas import CORRUPT
 
 # Entry id prefixes of tweets in a search timeline.
@@ -49,19 +50,20 @@ def drop_promoted(entries: DataFrame) -> DataFrame:
 def join_tweets(entries: DataFrame) -> DataFrame:
     """Entry to tweet object by id; an entry whose tweet is not in the response is skipped."""
     tweet = F.try_element_at(F.col("globalObjects.tweets"), F.col("tweet_id"))
-    return entries.withColumn("tweet", tweet).where(F.col("tweet").isNotNull())
+    return compute_once(entries, "tweet", tweet).where(F.col("tweet").isNotNull())
 
 
 def join_users(tweets: DataFrame) -> DataFrame:
     """Tweet to author; a missing author leaves ``user_data`` NULL."""
     user = F.try_element_at(F.col("globalObjects.users"), F.col("tweet.user_id_str"))
-    return tweets.withColumn("user_data", user)
+    return compute_once(tweets, "user_data", user)
 
 
 def enrich_retweets(tweets: DataFrame) -> DataFrame:
     """Add ``retweet_data``, read from the repeated tweet when the response holds it."""
     rtid = F.col("tweet.retweeted_status_id_str")
-    target = F.try_element_at(F.col("globalObjects.tweets"), rtid)
+    tweets = compute_once(tweets, "_target", F.try_element_at(F.col("globalObjects.tweets"), rtid))
+    target = F.col("_target")
     when = F.concat(date_time_text(parse_tweet_time(target["created_at"])), F.lit(" UTC"))
     data = F.struct(
         target["user_id_str"].alias("user_rtid"),
@@ -69,7 +71,7 @@ def enrich_retweets(tweets: DataFrame) -> DataFrame:
         rtid.alias("retweet_id"),
         when.alias("retweet_date"),
     )
-    return tweets.withColumn("retweet_data", F.when(target.isNotNull(), data))
+    return tweets.withColumn("retweet_data", F.when(target.isNotNull(), data)).drop("_target")
 
 
 def _candidate_entries(responses: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.text import any_of, has_phrase, padded_tokens, token_string
 from postlake.operators.enrich import CONTEXT_WORDS
-from postlake.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small
+from postlake.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, compute_once
 
 PADDED = "_padded"
 FALLBACK_SALTS = 32
@@ -57,23 +57,19 @@ def prepare_terms(terms: DataFrame, cashtags: bool = False, document_counts: Dat
         )
         anchored = phrases.join(rarest, "phrase")
 
-    def pattern(of: Column, context: bool) -> Column:
-        mine = F.filter(of, lambda t: (t["term_no"] < F.col("term_no")) & (t["needs_context"] == F.lit(context)))
-        alternatives = F.array_join(F.transform(mine, lambda t: F.replace(t["phrase"], F.lit("$"), F.lit("\\$"))), "|")
-        return F.when(alternatives != "", F.concat(F.lit(" ("), alternatives, F.lit(") ")))
+    columns = ["term_no", "phrase", "needs_context", "anchor", *carried]
+    per_symbol = anchored.groupBy("symbol").agg(F.collect_set(F.struct(*columns)).alias("siblings"))
+    each = per_symbol.select("symbol", "siblings", F.explode("siblings").alias("t"))
 
-    per_symbol = anchored.groupBy("symbol").agg(
-        F.collect_set(F.struct("term_no", "phrase", "needs_context")).alias("siblings")
-    )
-    return anchored.join(per_symbol, "symbol").select(
-        "symbol",
-        "term_no",
-        "phrase",
-        "needs_context",
-        "anchor",
-        pattern(F.col("siblings"), False).alias("_earlier"),
-        pattern(F.col("siblings"), True).alias("_earlier_in_context"),
-        *carried,
+    def pattern(context: bool) -> Column:
+        mine = F.filter(
+            "siblings", lambda s: (s["term_no"] < F.col("t.term_no")) & (s["needs_context"] == F.lit(context))
+        )
+        phrases = F.transform(mine, lambda s: F.replace(s["phrase"], F.lit("$"), F.lit("\\$")))
+        return F.when(F.size(mine) > 0, F.concat(F.lit(" ("), F.array_join(phrases, "|"), F.lit(") ")))
+
+    return each.select(
+        "symbol", "t.*", pattern(False).alias("_earlier"), pattern(True).alias("_earlier_in_context")
     )
 
 
@@ -110,7 +106,7 @@ def match_symbols(
     not shuffled at all; beyond that :func:`_match_by_shuffle` gives the same rows.
     """
     ready, small = broadcast_if_small(prepare_terms(terms, cashtags, document_counts), max_rows, max_bytes)
-    padded = posts.withColumn(PADDED, padded_tokens(F.col(text), cashtags))
+    padded = compute_once(posts, PADDED, padded_tokens(F.col(text), cashtags))
     out = [*posts.columns, *[c for c in ready.columns if c not in ("needs_context", "anchor") and c[0] != "_"]]
     if not small:
         return _match_by_shuffle(padded, ready, id_cols, context_words).select(*out)

@@ -17,6 +17,7 @@ from postlake.functions.times import (
     parse_epoch,
     parse_tweet_time,
 )
+from postlake.operators.sizing import compute_once
 from postlake.schemas import Field, stored_fields
 
 ENTITY_KINDS = ("hashtags", "symbols", "user_mentions", "urls")
@@ -34,10 +35,9 @@ def entities_json(df: DataFrame) -> DataFrame:
 def derive_tweets(tweets: DataFrame, asof: Column | dt.datetime | str) -> DataFrame:
     """Times, clean text, entity text and ids of flattened tweets."""
     user = F.col("user_data")
-    out = tweets.withColumns(
+    out = compute_once(tweets, "full_text", normalize_text(F.col("full_text"))).withColumns(
         {
             "datetime": parse_tweet_time(F.col("created_at")),
-            "full_text": normalize_text(F.col("full_text")),
             "user_id": F.coalesce("user_id", "user_id_str"),
             "user_data": user.withField("datetime", date_time_text(parse_tweet_time(user["created_at"]))),
         }
@@ -46,7 +46,7 @@ def derive_tweets(tweets: DataFrame, asof: Column | dt.datetime | str) -> DataFr
 
 
 def derive_comments(comments: DataFrame, asof: Column | dt.datetime | str) -> DataFrame:
-    """Times of flattened comments; text is left to :func:`clean_bodies`."""
+    """Times of flattened comments; text is left to :func:`clean_bodies` and :func:`truncate_bodies`."""
     out = comments.withColumns(
         {
             "datetime": parse_epoch(F.col("created_utc")),
@@ -56,9 +56,14 @@ def derive_comments(comments: DataFrame, asof: Column | dt.datetime | str) -> Da
     return stamp_asof(derive_calendar(out), asof)
 
 
-def clean_bodies(comments: DataFrame, column: str = "body", truncate: bool = True) -> DataFrame:
-    text = normalize_text(F.col(column))
-    return comments.withColumn(column, truncate_sentences(text) if truncate else text)
+def clean_bodies(comments: DataFrame, column: str = "body") -> DataFrame:
+    """White space squeezed."""
+    return compute_once(comments, column, normalize_text(F.col(column)))
+
+
+def truncate_bodies(comments: DataFrame, column: str = "body") -> DataFrame:
+    """Clean bodies cut to the stored length."""
+    return compute_once(comments, column, truncate_sentences(F.col(column)))
 
 
 def _has_path(schema: T.StructType, path: str) -> bool:

@@ -1,9 +1,9 @@
-"""Decide on broadcasting by measured size."""
+"""Physical choices made from measured sizes, and expressions computed once."""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
@@ -30,3 +30,23 @@ def broadcast_if_small(
     if fits_broadcast(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
+
+
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``withColumn`` for costly values that filters read several times.
+
+    Filters are pushed below a projection by copying its expressions into the filter, once per use,
+    even into a join's condition. They are not pushed below an explode, so a one-element one makes
+    the value a plain column. It is row-local and stays in generated code.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name)).select(
+        *(df.columns if name in df.columns else [*others, name])
+    )
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal the rows of a plain scan over all cores when it has fewer splits than there are cores,
+    as with one large file that cannot be split. A scan with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

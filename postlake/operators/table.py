@@ -70,11 +70,13 @@ class PostTable:
         return self.spark.catalog.tableExists(self.name)
 
     def create(self) -> None:
-        """Create the table if it is absent."""
+        """Create the table if it is absent. Its overwrites are dynamic: they replace the partitions
+        written to and no others, which a writer's own option would not bring about here."""
         stored = ", ".join(f"{f.name} {f.type}" for f in self.fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({stored}, symbol string, symbol_bucket int, month string) "
-            f"USING parquet PARTITIONED BY ({', '.join(PARTITION)}) TBLPROPERTIES ('n_buckets'='{self.n_buckets}')"
+            f"USING parquet OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY ({', '.join(PARTITION)}) "
+            f"TBLPROPERTIES ('n_buckets'='{self.n_buckets}')"
         )
         made = self.spark.sql(f"SHOW TBLPROPERTIES {self.name} ('n_buckets')").first()["value"]
         if made != str(self.n_buckets):
@@ -165,9 +167,7 @@ class PostTable:
         staged = self.spark.read.schema(keep.schema).parquet(staged_path)
         remaining = {tuple(r) for r in staged.select(*PARTITION).distinct().collect()}
         if remaining:
-            self._laid_out(staged).write.option("partitionOverwriteMode", "dynamic").insertInto(
-                self.name, overwrite=True
-            )
+            self._laid_out(staged).write.insertInto(self.name, overwrite=True)
         empty = [p for p in touched if (p["symbol_bucket"], p["month"]) not in remaining]
         if empty:
             specs = ", ".join(

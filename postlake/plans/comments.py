@@ -10,7 +10,7 @@ from postlake.operators.enrich import CONTEXT_WORDS, comment_terms, company_name
 from postlake.operators.filters import CommentFilter
 from postlake.operators.flatten import flatten_comments
 from postlake.operators.match import drop_false_positives, match_symbols
-from postlake.operators.project import clean_bodies, derive_comments, project_row, split_valid
+from postlake.operators.project import clean_bodies, derive_comments, project_row, split_valid, truncate_bodies
 from postlake.schemas import COMMENT_FIELDS, REDDIT
 
 
@@ -30,9 +30,9 @@ def tag_comments(
 
     The search sees the full text; the false-positive filter sees the truncated body.
     """
-    clean = project_row(clean_bodies(derive_comments(comments, asof), truncate=False), REDDIT)
+    clean = project_row(clean_bodies(derive_comments(comments, asof)), REDDIT)
     pairs = match_symbols((search or CommentFilter()).apply(clean), terms, "body", context_words=context_words)
-    kept = drop_false_positives(clean_bodies(pairs), "body", context_words)
+    kept = drop_false_positives(truncate_bodies(pairs), "body", context_words)
     return kept.select(*[f.name for f in COMMENT_FIELDS], "symbol")
 
 
