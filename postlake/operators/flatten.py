@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlake.functions.text import any_of
 from postlake.functions.times import date_time_text, parse_tweet_time
 from postlake.operators.sizing import compute_once
 from postlake.schemas import CORRUPT
@@ -19,6 +20,7 @@ TWEET_ENTRY_PREFIXES = ("sq-I-t-", "tweet-")
 NO_TWEET_ID = "no_tweet_id"
 NO_USER = "no_user"
 UNREADABLE = "unreadable_json"
+WRONG_TYPE = "value_of_wrong_type"
 
 
 def timeline_entries(responses: DataFrame) -> DataFrame:
@@ -27,16 +29,17 @@ def timeline_entries(responses: DataFrame) -> DataFrame:
     A response without any tweet object contributes nothing.
     """
     entries = F.col("timeline.instructions").getItem(0)["addEntries"]["entries"]
-    is_tweet = F.startswith(F.col("entry.entryId"), F.lit(TWEET_ENTRY_PREFIXES[0])) | F.startswith(
-        F.col("entry.entryId"), F.lit(TWEET_ENTRY_PREFIXES[1])
-    )
     return (
         responses.where(F.size("globalObjects.tweets") > 0)
         .select("response_id", "globalObjects", F.posexplode(entries).alias("entry_pos", "entry"))
-        .where(is_tweet)
+        .where(_is_tweet_entry(F.col("entry.entryId")))
     )
 
 
+def _is_tweet_entry(entry_id: Column) -> Column:
+    return any_of([F.startswith(entry_id, F.lit(p)) for p in TWEET_ENTRY_PREFIXES])
+
+
 def resolve_tweet_ids(entries: DataFrame) -> DataFrame:
     """Add ``tweet_id``: the entry's tweet, else the tweet behind its tombstone, else NULL."""
     content = F.col("entry.content.item.content")
@@ -74,45 +77,57 @@ def enrich_retweets(tweets: DataFrame) -> DataFrame:
     return tweets.withColumn("retweet_data", F.when(target.isNotNull(), data)).drop("_target")
 
 
-def _candidate_entries(responses: DataFrame) -> DataFrame:
-    return drop_promoted(resolve_tweet_ids(timeline_entries(responses)))
+def classified_entries(responses: DataFrame) -> DataFrame:
+    """One pass over the responses: every candidate tweet entry with its tweet, author, and
+    ``reject_reason`` where there is one. Unreadable responses give one row each.
+
+    To store tweets and rejects of one reading, persist or write this and split it with
+    :func:`accepted_tweets` and :func:`rejected_entries`.
+    """
+    corrupt = F.col(CORRUPT) if CORRUPT in responses.columns else F.lit(None)
+    # A malformed record parses to nothing; a value of a wrong type only costs that value.
+    unreadable = corrupt.isNotNull() & F.col("timeline").isNull()
+    entries = F.when(F.size("globalObjects.tweets") > 0, F.col("timeline.instructions").getItem(0)["addEntries"]["entries"])
+    rows = responses.select(
+        "response_id", "globalObjects", unreadable.alias("unreadable"), F.posexplode_outer(entries).alias("entry_pos", "entry")
+    )
+    rows = resolve_tweet_ids(rows.where(F.col("unreadable") | _is_tweet_entry(F.col("entry.entryId"))))
+    rows = drop_promoted(rows)
+    tweet = F.try_element_at(F.col("globalObjects.tweets"), F.col("tweet_id"))
+    rows = join_users(compute_once(rows, "tweet", tweet))
+    reason = (
+        F.when(F.col("unreadable"), F.lit(UNREADABLE))
+        .when(F.col("tweet_id").isNull(), F.lit(NO_TWEET_ID))
+        .when(F.col("tweet").isNotNull() & F.col("user_data").isNull(), F.lit(NO_USER))
+    )
+    return rows.withColumn("reject_reason", reason)
+
+
+def accepted_tweets(entries: DataFrame, strict: bool = False) -> DataFrame:
+    """Flattened tweets of :func:`classified_entries`; ``strict`` stops the job on a reject."""
+    reason = F.col("reject_reason")
+    on_reject = F.raise_error(F.concat(F.lit("unusable entry: "), reason)).cast("boolean") if strict else F.lit(False)
+    kept = entries.where(F.when(reason.isNotNull(), on_reject).otherwise(F.col("tweet").isNotNull()))
+    return enrich_retweets(kept).select("response_id", "entry_pos", "tweet.*", "user_data", "retweet_data")
+
+
+def rejected_entries(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("reject_reason").isNotNull()).select(
+        "response_id", "entry_pos", "tweet_id", "reject_reason"
+    )
 
 
 def flatten_tweets(responses: DataFrame, strict: bool = False) -> DataFrame:
     """One row per tweet entry: the tweet's fields, ``user_data`` and ``retweet_data``.
 
-    Entries without a tweet id or author are left to :func:`tweet_rejects`; ``strict`` stops the
-    job on them instead.
+    What cannot be used is left to :func:`tweet_rejects`; ``strict`` stops the job on it instead.
     """
-    entries = _candidate_entries(responses)
-    if strict:
-        entries = entries.withColumn("tweet_id", _or_error(F.col("tweet_id"), "entry without a tweet id"))
-    tweets = join_users(join_tweets(entries))
-    if strict:
-        tweets = tweets.withColumn("user_data", _or_error(F.col("user_data"), "tweet without its user"))
-    else:
-        tweets = tweets.where(F.col("user_data").isNotNull())
-    return enrich_retweets(tweets).select("response_id", "entry_pos", "tweet.*", "user_data", "retweet_data")
+    return accepted_tweets(classified_entries(responses), strict)
 
 
 def tweet_rejects(responses: DataFrame) -> DataFrame:
     """Side output of :func:`flatten_tweets`: (response_id, entry_pos, tweet_id, reject_reason)."""
-    entries = _candidate_entries(responses)
-    no_id = entries.where(F.col("tweet_id").isNull())
-    no_user = join_users(join_tweets(entries)).where(F.col("user_data").isNull())
-    bad = responses.where(F.col(CORRUPT).isNotNull()) if CORRUPT in responses.columns else responses.limit(0)
-
-    def shaped(df: DataFrame, reason: str, pos: Column, tid: Column) -> DataFrame:
-        return df.select(
-            "response_id", pos.alias("entry_pos"), tid.alias("tweet_id"), F.lit(reason).alias("reject_reason")
-        )
-
-    null_pos, null_id = F.lit(None).cast("int"), F.lit(None).cast("string")
-    return (
-        shaped(no_id, NO_TWEET_ID, F.col("entry_pos"), null_id)
-        .unionByName(shaped(no_user, NO_USER, F.col("entry_pos"), F.col("tweet_id")))
-        .unionByName(shaped(bad, UNREADABLE, null_pos, null_id))
-    )
+    return rejected_entries(classified_entries(responses))
 
 
 def flatten_comments(pages: DataFrame) -> DataFrame:
@@ -121,11 +136,6 @@ def flatten_comments(pages: DataFrame) -> DataFrame:
 
 
 def comment_page_rejects(pages: DataFrame) -> DataFrame:
-    """Pages that could not be read, with their text."""
-    return pages.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("text"), F.lit(UNREADABLE).alias("reject_reason")
-    )
-
-
-def _or_error(value: Column, message: str) -> Column:
-    return F.when(value.isNull(), F.raise_error(F.lit(message))).otherwise(value)
+    """Pages that are not JSON, or hold a value of a wrong type (their other values are kept)."""
+    reason = F.when(F.col("data").isNull(), F.lit(UNREADABLE)).otherwise(F.lit(WRONG_TYPE))
+    return pages.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("text"), reason.alias("reject_reason"))

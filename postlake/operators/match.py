@@ -77,11 +77,17 @@ def _tokens(padded: Column) -> Column:
     return F.array_distinct(F.split(F.trim(padded), " "))
 
 
-def _verified(context_words: tuple[str, ...]) -> Column:
-    """The phrase holds, in context if it needs one, and no earlier term of the symbol holds."""
+def _verified(context_words: tuple[str, ...], has_anchor: bool) -> Column:
+    """The phrase holds, in context if it needs one, and no earlier term of the symbol holds.
+
+    ``has_anchor``: the anchor is known to be in this very text, which settles one-word phrases.
+    """
     padded = F.col(PADDED)
     in_context = any_of([F.contains(padded, F.lit(f" {w} ")) for w in context_words])
-    holds = has_phrase(padded, F.col("phrase")) & (~F.col("needs_context") | in_context)
+    found = has_phrase(padded, F.col("phrase"))
+    if has_anchor:
+        found = (F.col("phrase") == F.col("anchor")) | found
+    holds = found & (~F.col("needs_context") | in_context)
     earlier = F.coalesce(F.regexp_like(padded, F.col("_earlier")), F.lit(False)) | (
         F.coalesce(F.regexp_like(padded, F.col("_earlier_in_context")), F.lit(False)) & in_context
     )
@@ -111,14 +117,15 @@ def match_symbols(
     if not small:
         return _match_by_shuffle(padded, ready, id_cols, context_words).select(*out)
     words = padded.select("*", F.explode(_tokens(F.col(PADDED))).alias("anchor"))
-    return words.join(ready, "anchor").where(_verified(context_words)).select(*out)
+    return words.join(ready, "anchor").where(_verified(context_words, has_anchor=True)).select(*out)
 
 
 def _match_by_shuffle(
     padded: DataFrame, ready: DataFrame, id_cols: tuple[str, ...], context_words: tuple[str, ...]
 ) -> DataFrame:
     """Only (post id, word) pairs are shuffled, salted since common words are hot; the texts join
-    the few candidates afterwards."""
+    the few candidates afterwards. Copies of one id share their candidates, and each is verified by its
+    own text; where such copies are many, adaptive execution splits their side of that join."""
     ids = list(id_cols)
     keys = padded.select(*ids, F.explode(_tokens(F.col(PADDED))).alias("anchor")).withColumn(
         "_salt", F.pmod(F.xxhash64(*ids), F.lit(FALLBACK_SALTS)).cast("int")
@@ -128,7 +135,7 @@ def _match_by_shuffle(
     )
     found = keys.join(salted, ["anchor", "_salt"]).select(*ids, "symbol", "term_no", "anchor").distinct()
     candidates = found.join(ready, ["symbol", "term_no", "anchor"])
-    return padded.join(candidates, ids).where(_verified(context_words))
+    return padded.join(candidates, ids).where(_verified(context_words, has_anchor=False))
 
 
 def is_true_match(body: Column, symbol: Column, matches: list[Column]) -> Column:
