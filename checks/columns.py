@@ -153,7 +153,7 @@ def q_stamp_asof(t):
 
 @check("normalize_text", f"SELECT doc_id, {squeeze_sql('text')} AS text FROM documents")
 def q_normalize_text(t):
-    return t.table("documents").select("doc_id", normalize_text(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", normalize_text(F.col("text")).alias("text"))
 
 
 @check(
@@ -162,7 +162,7 @@ def q_normalize_text(t):
         SELECT c.id AS doc_id, coalesce(short, body) AS text FROM clean c LEFT JOIN cut ON c.id = cut.id""",
 )
 def q_truncate_sentences(t):
-    return truncate_bodies(clean_bodies(t.table("documents").select("doc_id", "text"), "text"), "text")
+    return truncate_bodies(clean_bodies(t.documents.select("doc_id", "text"), "text"), "text")
 
 
 @check(
@@ -215,7 +215,7 @@ def q_row_as_struct(t):
 )
 def q_string_basics(t):
     text = F.col("text")
-    return t.table("documents").select(
+    return t.documents.select(
         "doc_id",
         F.length(text).cast("bigint").alias("n_chars"),
         F.lower(F.substring(text, 1, 40)).alias("head"),

@@ -229,9 +229,13 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread_scan(self.table("documents"))
+
     @cached_property
     def posts(self) -> DataFrame:
-        d, e = spread_scan(self.table("documents")), self.table("events")
+        d, e = self.documents, self.table("events")
         return d.join(e, d.doc_id == e.event_id).select(
             d.doc_id.cast("string").alias("id"),
             d.doc_id.alias("n"),

@@ -166,6 +166,16 @@ def drop_false_positives(
     return pairs.where(is_true_match(F.col(body), F.col("symbol"), name_columns(context_words)))
 
 
+def observe_false_positives(
+    pairs: DataFrame, metric: str, body: str = "body", context_words: tuple[str, ...] = CONTEXT_WORDS
+) -> DataFrame:
+    """:func:`drop_false_positives` that reports ``n_matched`` and ``n_removed`` as an observed metric,
+    per run or, on a stream, per micro-batch."""
+    keep = is_true_match(F.col(body), F.col("symbol"), name_columns(context_words))
+    counts = (F.count(F.lit(1)).alias("n_matched"), F.count_if(~keep).alias("n_removed"))
+    return pairs.observe(metric, *counts).where(keep)
+
+
 def false_positive_counts(
     pairs: DataFrame, body: str = "body", context_words: tuple[str, ...] = CONTEXT_WORDS
 ) -> DataFrame:

@@ -25,6 +25,18 @@ def build_session(app_name: str = "postlake", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Set the shuffle partition count so that one holds about ``target_bytes`` of the largest shuffle.
+
+    Adaptive execution joins partitions that turn out small but cannot add any, so the count must be
+    right for the large case.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores, -(-shuffled_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    return n
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Stored times are UTC, so the session zone must be too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -3,6 +3,7 @@ import json
 
 from postlake.operators.flatten import comment_page_rejects, flatten_comments
 from postlake.operators.sizing import broadcast_if_small, spread_scan
+from postlake.session import size_shuffles
 from postlake.sources.responses import read_comment_pages, read_tweet_responses
 from postlake.sources.symbols import last_wins, read_dictionary, read_symbols
 
@@ -65,3 +66,12 @@ def test_spread_scan(spark, tmp_path):
     assert spread_scan(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 16)
     assert spread_scan(many) is many
+
+
+def test_shuffles_are_sized(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10 * 2**40) == 10 * 2**40 // 2**28
+        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

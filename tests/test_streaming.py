@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from postlake.operators.match import observe_false_positives
 from postlake.operators.project import clean_bodies, derive_comments, project_row
 from postlake.operators.table import PostTable, scratch_database
 from postlake.operators.flatten import flatten_comments
@@ -60,6 +61,19 @@ def test_slices_close_with_the_watermark(spark, tmp_path):
     assert sorted(got) == [("2024-01-02 05:00:00", "2024-01-05 05:00:00", 2), ("2024-01-05 05:00:00", "2024-01-08 05:00:00", 1)]
 
 
+def test_removed_matches_are_reported_per_batch(spark, tmp_path):
+    rows = [("ABC", "abcorp", "abc only"), ("ABC", "abcorp", "ABC"), ("ABC", "abcorp", "Abcorp")]
+    spark.createDataFrame(rows, "symbol string, name string, body string").coalesce(1).write.parquet(str(tmp_path / "p"))
+    stream = spark.readStream.schema("symbol string, name string, body string").parquet(str(tmp_path / "p"))
+    pairs = stream.withColumns({"shortName": F.lit(None).cast("string"), "longName": F.lit("")})
+    query = append_files(
+        observe_false_positives(pairs, "matches").select("body"), shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
+    )
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["matches"] for p in query.recentProgress if p["numInputRows"]]
+    assert [(m["n_matched"], m["n_removed"]) for m in seen] == [(3, 1)]
+
+
 def test_optional_sieve_drops_copies(spark, tmp_path):
     stream = events(spark, tmp_path / "e", ["2024-01-02", "2024-01-02", "2024-01-03"])
     same = stream.withColumn("id", F.lit("x"))
