@@ -159,7 +159,7 @@ COMMENTS_RAW_SQL = f"""{POSTS_SQL},
   craw AS (
     SELECT n || '-' || (pos - 1) AS id, 't3_' || n AS link_id,
            CASE WHEN pos > 1 THEN n || '-' || (pos - 2) END AS parent_id, pos AS nest_level,
-           (pos - 1) % 2 AS controversiality, body, CAST(epoch_ms(ts) // 1000 AS BIGINT) + pos - 1 AS created_utc,
+           (pos - 1) % 2 AS controversiality, body, CAST(epoch_us(ts) // 1000000 AS BIGINT) + pos - 1 AS created_utc,
            score - (pos - 1) AS score, source AS subreddit, 't5_' || source AS subreddit_id,
            'user_' || u AS author, CASE WHEN u % 3 > 0 THEN 't2_' || u END AS author_fullname,
            CASE WHEN u % 4 > 0 THEN u * 86400 * 30 END AS author_created_utc

@@ -64,6 +64,5 @@ def slice_start(ts: Column, since: Column, days: int = SLICE_DAYS) -> Column:
     Plain arithmetic, because ``window()`` counts from 1970 and a per-symbol ``since`` can be no
     literal offset.
     """
-    step = days * _MICROS_PER_DAY
-    since_us = F.unix_micros(since)
-    return F.timestamp_micros(since_us + F.floor((F.unix_micros(ts) - since_us) / F.lit(step)) * F.lit(step))
+    elapsed = F.unix_micros(ts) - F.unix_micros(since)
+    return F.timestamp_micros(F.unix_micros(ts) - F.pmod(elapsed, F.lit(days * _MICROS_PER_DAY)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.operators.sizing import compute_once
 from postlake.schemas import COMMENT_PAGE_SCHEMA, CORRUPT, TWEET_RESPONSE_SCHEMA
 
 
@@ -43,4 +44,4 @@ def _stream(spark: SparkSession, schema: str, files_per_trigger: int):
 
 def _parse(texts: DataFrame, column: str, schema: str) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return texts.select(F.from_json(F.col(column), schema, options).alias("r")).select("r.*")
+    return compute_once(texts, "_parsed", F.from_json(F.col(column), schema, options)).select("_parsed.*")
