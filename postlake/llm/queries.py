@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from postlake.llm.pii import op3_pii
 from postlake.llm.quality_rules import op5_quality_rules
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op3_pii, op5_quality_rules)}
 ORACLES: dict[str, str] = {}
