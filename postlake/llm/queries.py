@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from postlake.llm.decontaminate import op1_decontaminate
 from postlake.llm.pii import op3_pii
 from postlake.llm.quality_rules import op5_quality_rules
 
-QUERIES = {f.__name__: f for f in (op3_pii, op5_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_pii, op5_quality_rules)}
 ORACLES: dict[str, str] = {}
