@@ -16,7 +16,6 @@ benchmark leaves every document clean. Repeated documents and null ids keep thei
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
