@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from postlake.llm.decontaminate import op1_decontaminate
+from postlake.llm.fm_quality import op2_quality_classifier
 from postlake.llm.near_dedup import op4_near_dedup
 from postlake.llm.pii import op3_pii
 from postlake.llm.quality_rules import op5_quality_rules
 from postlake.llm.warc import op10_warc
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_pii, op4_near_dedup, op5_quality_rules, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_classifier, op3_pii, op4_near_dedup, op5_quality_rules, op10_warc)}
 ORACLES: dict[str, str] = {}
