@@ -116,8 +116,6 @@ def _symbols_sql(parts: str) -> str:
 
 ALL_SYMBOLS_SQL = f"""{NAMED_SQL}, {PART_SQL}, {_symbols_sql('''
       SELECT * FROM named_rows UNION ALL SELECT * FROM bench_rows UNION ALL SELECT * FROM part_rows''')}"""
-POST_SYMBOLS_SQL = f"""{NAMED_SQL}, {_symbols_sql('''
-      SELECT * FROM named_rows UNION ALL SELECT * FROM bench_rows''')}"""
 
 _WORDS = ", ".join(f"('{w}')" for w in DICTIONARY_WORDS)
 DICTIONARY_SQL = f"""
@@ -184,7 +182,7 @@ TWEET_TERMS_SQL = """
     SELECT symbol, term_no, term, false AS needs_context FROM (
       SELECT symbol, 1 AS term_no, CASE WHEN lower(name) <> lower(symbol) THEN name END AS term FROM company
       UNION ALL SELECT symbol, 2, '$' || symbol FROM company) WHERE trim(term) <> '')"""
-POST_TERMS_SQL = f"{POST_SYMBOLS_SQL}, {DICTIONARY_SQL}, {COMPANY_SQL}, {COMMENT_TERMS_SQL}, {TWEET_TERMS_SQL}"
+POST_TERMS_SQL = f"{ALL_SYMBOLS_SQL}, {DICTIONARY_SQL}, {COMPANY_SQL}, {COMMENT_TERMS_SQL}, {TWEET_TERMS_SQL}"
 
 
 def matched_sql(posts: str, text: str, terms: str, out: str, context: tuple[str, ...], cashtags: bool = False) -> str:
@@ -193,10 +191,11 @@ def matched_sql(posts: str, text: str, terms: str, out: str, context: tuple[str,
     return f"""
   {out}_p AS (SELECT *, ' ' || {tokens_sql(text, cashtags)} || ' ' AS padded FROM {posts}),
   {out}_t AS (SELECT * FROM (SELECT *, {tokens_sql("term", cashtags)} AS phrase FROM {terms}) WHERE phrase <> ''),
+  {out}_w AS (SELECT DISTINCT id, unnest(string_split(trim(padded), ' ')) AS word FROM {out}_p),
   {out} AS (
     SELECT p.*, t.* EXCLUDE (term, needs_context, term_no), t.term_no
-    FROM {out}_p p JOIN {out}_t t
-      ON contains(p.padded, ' ' || t.phrase || ' ') AND (NOT t.needs_context OR {around})
+    FROM {out}_w w JOIN {out}_t t ON split_part(t.phrase, ' ', 1) = w.word JOIN {out}_p p ON p.id = w.id
+    WHERE contains(p.padded, ' ' || t.phrase || ' ') AND (NOT t.needs_context OR {around})
     QUALIFY row_number() OVER (PARTITION BY p.id, t.symbol ORDER BY t.term_no) = 1)"""
 
 
@@ -207,7 +206,7 @@ def keep_sql(body: str, context: tuple[str, ...]) -> str:
     return f"({' OR '.join(hits)} OR contains({body}, symbol))"
 
 
-# Stored comment rows and their times; matched pairs of all posts under the post symbols.
+# Stored comment rows and their times; matched pairs of all posts under all symbols.
 COMMENTS_SQL = f"""
   clean AS (SELECT * REPLACE ({squeeze_sql("body")} AS body) FROM posts),
   {matched_sql("clean", "body", "cterms", "pairs", CONTEXT)}"""
@@ -297,11 +296,6 @@ class Inputs:
     def symbols(self) -> DataFrame:
         return last_wins(self.master)
 
-    @cached_property
-    def post_symbols(self) -> DataFrame:
-        """The symbols whose names occur in the documents."""
-        return last_wins(parse_symbol_lines(self.named_lines))
-
     @cached_property
     def dictionary(self) -> DataFrame:
         literal = self.spark.sql(f"SELECT * FROM VALUES {_WORDS} AS v(word)")
@@ -314,11 +308,11 @@ class Inputs:
 
     @cached_property
     def comment_terms(self) -> DataFrame:
-        return comment_symbol_terms(self.post_symbols, self.dictionary)
+        return comment_symbol_terms(self.symbols, self.dictionary)
 
     @cached_property
     def tweet_terms(self) -> DataFrame:
-        return tweet_symbol_terms(self.post_symbols, self.dictionary)
+        return tweet_symbol_terms(self.symbols, self.dictionary)
 
     @cached_property
     def pairs(self) -> DataFrame:

@@ -99,7 +99,7 @@ def q_oldest(t):
         SELECT symbol, n_rows FROM symbols LEFT JOIN n USING (symbol)""",
 )
 def q_size_by_symbol(t):
-    return size_by_symbol(t.pairs, t.post_symbols)
+    return size_by_symbol(t.pairs, t.symbols)
 
 
 @check(
@@ -244,7 +244,7 @@ _POINTS = f"""{PAIRS_SQL},
 
 
 def points_of(t):
-    return resume_points(t.post_symbols, before_cutoff(t.pairs), START)
+    return resume_points(t.symbols, before_cutoff(t.pairs), START)
 
 
 @check("resume_points", f"WITH {_POINTS} SELECT symbol, newest, since FROM points")

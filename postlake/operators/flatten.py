@@ -28,7 +28,7 @@ def timeline_entries(responses: DataFrame) -> DataFrame:
 
     A response without any tweet object contributes nothing.
     """
-    entries = F.col("timeline.instructions").getItem(0)["addEntries"]["entries"]
+    entries = F.get("timeline.instructions", F.lit(0))["addEntries"]["entries"]
     return (
         responses.where(F.size("globalObjects.tweets") > 0)
         .select("response_id", "globalObjects", F.posexplode(entries).alias("entry_pos", "entry"))
@@ -87,7 +87,7 @@ def classified_entries(responses: DataFrame) -> DataFrame:
     corrupt = F.col(CORRUPT) if CORRUPT in responses.columns else F.lit(None)
     # A malformed record parses to nothing; a value of a wrong type only costs that value.
     unreadable = corrupt.isNotNull() & F.col("timeline").isNull()
-    entries = F.when(F.size("globalObjects.tweets") > 0, F.col("timeline.instructions").getItem(0)["addEntries"]["entries"])
+    entries = F.when(F.size("globalObjects.tweets") > 0, F.get("timeline.instructions", F.lit(0))["addEntries"]["entries"])
     rows = responses.select(
         "response_id", "globalObjects", unreadable.alias("unreadable"), F.posexplode_outer(entries).alias("entry_pos", "entry")
     )

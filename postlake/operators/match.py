@@ -33,43 +33,36 @@ def term_document_counts(posts: DataFrame, terms: DataFrame, text: str = "body",
 
 
 def prepare_terms(terms: DataFrame, cashtags: bool = False, document_counts: DataFrame | None = None) -> DataFrame:
-    """Terms ready for joining: phrase, anchor word, and the symbol's earlier terms as patterns.
+    """Terms ready for joining: phrase, anchor word, and the symbol's earlier phrases.
 
-    The anchor is the phrase's rarest word by ``document_counts``, else its longest. The patterns let
-    a match be reported once per post and symbol, at the first of the symbol's terms that holds, with
-    no ``distinct`` over the posts afterwards.
+    The anchor is the phrase's rarest word by ``document_counts``, else the word that fewest phrases
+    share, the longer one of two. The earlier phrases let a match be reported once per post and
+    symbol, at the first of the symbol's terms that holds, with no ``distinct`` over the posts
+    afterwards.
     """
     carried = [c for c in terms.columns if c not in ("symbol", "term_no", "term", "needs_context")]
     phrases = terms.withColumn("phrase", token_string(F.col("term"), cashtags)).where(F.col("phrase") != "")
-    words = F.split("phrase", " ")
+    words = phrases.select("phrase").distinct().select("phrase", F.explode(F.split("phrase", " ")).alias("token"))
     if document_counts is None:
-        longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-        anchored = phrases.withColumn("anchor", longest)
+        shared = words.groupBy("token").agg(F.count(F.lit(1)).alias("n_posts"))
     else:
-        order = F.struct(F.coalesce("n_posts", F.lit(0)), "token")
-        rarest = (
-            phrases.select("phrase")
-            .distinct()
-            .select("phrase", F.explode(words).alias("token"))
-            .join(document_counts, "token", "left")
-            .groupBy("phrase")
-            .agg(F.min_by("token", order).alias("anchor"))
-        )
-        anchored = phrases.join(rarest, "phrase")
+        shared = document_counts.select("token", "n_posts")
+    order = F.struct(F.coalesce("n_posts", F.lit(0)), -F.length("token"), "token")
+    rarest = words.join(shared, "token", "left").groupBy("phrase").agg(F.min_by("token", order).alias("anchor"))
+    anchored = phrases.join(rarest, "phrase")
 
     columns = ["term_no", "phrase", "needs_context", "anchor", *carried]
     per_symbol = anchored.groupBy("symbol").agg(F.collect_set(F.struct(*columns)).alias("siblings"))
     each = per_symbol.select("symbol", "siblings", F.explode("siblings").alias("t"))
 
-    def pattern(context: bool) -> Column:
+    def earlier(context: bool) -> Column:
         mine = F.filter(
             "siblings", lambda s: (s["term_no"] < F.col("t.term_no")) & (s["needs_context"] == F.lit(context))
         )
-        phrases = F.transform(mine, lambda s: F.replace(s["phrase"], F.lit("$"), F.lit("\\$")))
-        return F.when(F.size(mine) > 0, F.concat(F.lit(" ("), F.array_join(phrases, "|"), F.lit(") ")))
+        return F.transform(mine, lambda s: s["phrase"])
 
     return each.select(
-        "symbol", "t.*", pattern(False).alias("_earlier"), pattern(True).alias("_earlier_in_context")
+        "symbol", "t.*", earlier(False).alias("_earlier"), earlier(True).alias("_earlier_in_context")
     )
 
 
@@ -88,10 +81,11 @@ def _verified(context_words: tuple[str, ...], has_anchor: bool) -> Column:
     if has_anchor:
         found = (F.col("phrase") == F.col("anchor")) | found
     holds = found & (~F.col("needs_context") | in_context)
-    earlier = F.coalesce(F.regexp_like(padded, F.col("_earlier")), F.lit(False)) | (
-        F.coalesce(F.regexp_like(padded, F.col("_earlier_in_context")), F.lit(False)) & in_context
-    )
-    return holds & ~earlier
+
+    def any_in(phrases: str) -> Column:
+        return (F.size(phrases) > 0) & F.exists(phrases, lambda p: has_phrase(padded, p))
+
+    return holds & ~(any_in("_earlier") | (any_in("_earlier_in_context") & in_context))
 
 
 def match_symbols(
@@ -127,15 +121,15 @@ def _match_by_shuffle(
     the few candidates afterwards. Copies of one id share their candidates, and each is verified by its
     own text; where such copies are many, adaptive execution splits their side of that join."""
     ids = list(id_cols)
-    keys = padded.select(*ids, F.explode(_tokens(F.col(PADDED))).alias("anchor")).withColumn(
+    keys = padded.select(*ids, F.explode(_tokens(F.col(PADDED))).alias("anchor"))
+    keys = keys.join(ready.select("anchor").distinct(), "anchor", "left_semi").withColumn(
         "_salt", F.pmod(F.xxhash64(*ids), F.lit(FALLBACK_SALTS)).cast("int")
     )
-    salted = ready.select("anchor", "symbol", "term_no").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(FALLBACK_SALTS - 1)))
-    )
-    found = keys.join(salted, ["anchor", "_salt"]).select(*ids, "symbol", "term_no", "anchor").distinct()
-    candidates = found.join(ready, ["symbol", "term_no", "anchor"])
-    return padded.join(candidates, ids).where(_verified(context_words, has_anchor=False))
+    salted = ready.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(FALLBACK_SALTS - 1))))
+    named = {i: f"_key_{n}" for n, i in enumerate(ids)}
+    candidates = keys.join(salted, ["anchor", "_salt"]).drop("_salt").withColumnsRenamed(named).distinct()
+    same = [padded[i].eqNullSafe(candidates[k]) for i, k in named.items()]
+    return padded.join(candidates, same).where(_verified(context_words, has_anchor=False))
 
 
 def is_true_match(body: Column, symbol: Column, matches: list[Column]) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +23,8 @@ def broadcast_if_small(
 ) -> tuple[DataFrame, bool]:
     """The frame with a broadcast hint when its measured size allows it, and whether it did.
 
-    The frame is kept so that measuring and joining compute it once.
+    Nothing is kept: a kept frame would answer for its files as they were, also to later calls.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if fits_broadcast(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False

@@ -57,8 +57,8 @@ def sort_comments(comments: DataFrame) -> DataFrame:
 
 
 def sort_tweets(tweets: DataFrame) -> DataFrame:
-    """By numeric id, ascending."""
-    return tweets.orderBy(F.col("id").cast("bigint"))
+    """By numeric id, ascending; ids that are no numbers come first, by text."""
+    return tweets.orderBy(F.col("id").try_cast("bigint"), "id")
 
 
 def posts_union(tweets: DataFrame, comments: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from postlake.operators.project import require_valid
 from postlake.operators.sizing import broadcast_if_small
 from postlake.operators.stats import get_first, size_by_symbol
 from postlake.schemas import stored_fields
-from postlake.session import shared_dir
+from postlake.session import remove_dir, shared_dir
 
 PARTITION = ("symbol_bucket", "month")
 DEFAULT_BUCKETS = 64
@@ -138,7 +138,6 @@ class PostTable:
                 self._laid_out(new.select(*self.columns, *PARTITION)).write.insertInto(self.name)
             self.spark.catalog.refreshTable(self.name)
             known.unpersist()
-            keys.unpersist()
             return n_new
         finally:
             fresh.unpersist()
@@ -146,26 +145,31 @@ class PostTable:
     def delete_where(self, condition: Column, pruning: Column | None = None) -> int:
         """Delete the rows for which ``condition`` is true; returns how many.
 
-        Only partitions holding such rows are rewritten, in one job: the rows to keep are staged in
-        the shared folder, then replace their partitions; partitions left empty are dropped.
-        Repeating an interrupted delete is safe before the replacement starts; the staged copy stays
-        in the shared folder until then.
+        Only partitions holding such rows change. The rows to keep are staged in the shared folder and counted; the
+        delete stops before it changes anything if any is missing. Then they replace their partitions, and partitions
+        that keep no row are dropped. The staged copy is removed at the end; after a failure it stays.
         """
         rows = self.read() if pruning is None else self.read().where(pruning)
         touched = rows.where(condition).groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
         if not touched:
             return 0
+        deleted = sum(p["n"] for p in touched)
         by_month: dict[str, list[int]] = {}
         for p in touched:
             by_month.setdefault(p["month"], []).append(p["symbol_bucket"])
         in_touched = F.lit(False)
         for month, buckets in by_month.items():
             in_touched = in_touched | ((F.col("month") == month) & F.col("symbol_bucket").isin(*buckets))
-        keep = self.read().where(in_touched).where(~F.coalesce(condition, F.lit(False)))
+        before = self.read().where(in_touched)
+        keep = before.where(~F.coalesce(condition, F.lit(False)))
         staged_path = shared_dir(self.spark, "staged")
         self._laid_out(keep).write.parquet(staged_path)
         staged = self.spark.read.schema(keep.schema).parquet(staged_path)
-        remaining = {tuple(r) for r in staged.select(*PARTITION).distinct().collect()}
+        counts = staged.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
+        held, expected = sum(p["n"] for p in counts), before.count() - deleted
+        if held != expected:
+            raise RuntimeError(f"{held} of {expected} rows to keep were staged in {staged_path}; nothing was deleted")
+        remaining = {(p["symbol_bucket"], p["month"]) for p in counts}
         if remaining:
             self._laid_out(staged).write.insertInto(self.name, overwrite=True)
         empty = [p for p in touched if (p["symbol_bucket"], p["month"]) not in remaining]
@@ -175,7 +179,8 @@ class PostTable:
             )
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
         self.spark.catalog.refreshTable(self.name)
-        return sum(p["n"] for p in touched)
+        remove_dir(self.spark, staged_path)
+        return deleted
 
     def drop_symbol(self, symbol: str) -> int:
         """Remove all rows of a symbol."""

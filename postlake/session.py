@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,13 +47,22 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder all executors can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is unset (tests on
-    one machine) a local temporary folder is used.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only on one machine (a ``local[...]`` master, as in
+    tests) does a local temporary folder take its place; elsewhere executors would not see each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _fallback_dirs:
             _fallback_dirs[app] = tempfile.mkdtemp(prefix="postlake-")
         base = _fallback_dirs[app]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`shared_dir` named."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(conf).delete(folder, True)

@@ -11,11 +11,14 @@ from postlake.schemas import SYMBOL_SCHEMA
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:
     """Pipe-delimited master with a header; symbols are trimmed and rows keep their file position.
 
+    Columns are taken by their names in the header, in any order; one that lacks stops the read. A
+    doubled quote in a quoted value is a quote.
+
     The position orders rows that come from one file: byte offset of the block a row was read
     from, then the row's rank in it.
     """
     rows = (
-        spark.read.schema(SYMBOL_SCHEMA).option("sep", "|").option("header", True).option("mode", "PERMISSIVE").csv(path)
+        spark.read.option("sep", "|").option("header", True).option("mode", "PERMISSIVE").option("escape", '"').csv(path)
     )
     return rows.select(
         F.trim("symbol").alias("symbol"),

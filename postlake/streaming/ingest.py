@@ -29,7 +29,7 @@ def append_new(
     table.create()
 
     def write(batch: DataFrame, _: int) -> None:
-        here = PostTable(batch.sparkSession, table.name.split(".")[0], table.network, table.n_buckets)
+        here = PostTable(batch.sparkSession, table.name.rpartition(".")[0], table.network, table.n_buckets)
         here.insert_ignore(prepare(batch) if prepare else batch)
 
     return (

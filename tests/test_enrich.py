@@ -1,10 +1,11 @@
-"""Company names and search terms, against a plain restatement of the rules."""
+"""Company names and search terms: hand-written cases, and properties on random names."""
 
 import random
 
 from pyspark.sql import functions as F
 
 from postlake.operators.enrich import (
+    ARTICLES,
     comment_terms,
     company_names,
     in_dictionary,
@@ -16,42 +17,54 @@ from postlake.operators.enrich import (
 from postlake.sources.symbols import dictionary_words
 
 WORDS = ["Apple", "bank", "of", "The", "group", "inc", "general", "gap", "zoo fun"]
-ENDINGS = "corporation corp cor etf incorporated inc limited ltd".split()
 
 
 def words(spark, extra=()):
     return dictionary_words(spark.createDataFrame([(w,) for w in [*WORDS, *extra]], "word string"))
 
 
-def core_of(full, dictionary):
-    """The name rules, one name at a time."""
-    kept, foreign_seen = [], False
-    for word in full.split(",")[0].lower().split():
-        if not kept and word in ("a", "an", "the"):
-            continue
-        known = word in dictionary
-        if kept and known and foreign_seen:
-            break
-        foreign_seen = foreign_seen or (bool(kept) and not known)
-        kept.append(word)
-    if kept and kept[-1].replace(".", "") in ENDINGS:
-        kept.pop()
-    core = " ".join(kept)
-    if len(core) <= 5 and core in dictionary:
-        core = None if full.lower() in dictionary else full.lower().replace(".", "").replace(",", "")
-    return core if core and len(core) > 3 else None
-
-
-def test_trim_matches_rules_on_random_names(spark):
+CORES = [
+    ("Zyx Inc.", None),  # three letters are too few
+    ("Zyxw Inc.", "zyxw"),  # a closing company form goes
+    ("Zyxw L.t.d.", "zyxw"),
+    ("The Zyxw Qua", "zyxw qua"),  # a leading article goes
+    ("A an the Zyxw", "zyxw"),
+    ("Apple Zyxw Bank of Qua", "apple zyxw"),  # ends before a known word that follows an unknown one
+    ("Zyxw Bank", "zyxw bank"),  # the first word does not count as the unknown one
+    ("Apple Bank Group", "apple bank group"),
+    ("Zyxw, Bank of Qua", "zyxw"),  # only what stands before the comma
+    ("Apple Inc.", "apple inc"),  # a short known core gives way to the full name
+    ("Apple", None),  # unless that is a known word too
+    ("The Gap", "the gap"),
+    ("Inc", None),
+    ("", None),
+    (",", None),
+    (None, None),
+]
+
+
+def test_trim_cases(spark):
+    df = spark.createDataFrame(CORES, "name string, want string")
+    got = trim_company_names(df, {"name": "core"}, words(spark)).collect()
+    assert {r.name: r.core for r in got} == dict(CORES)
+
+
+def test_trim_properties_on_random_names(spark):
     rng = random.Random(3)
-    parts = ["Apple", "Bank", "of", "the", "A", "an", "Zyx", "Qua", "Inc.", "inc", "Corp", "L.t.d.", "Group,", "gap",
-             "ETF", "  ", "xy", "(US)", "zoo", "fun"]
-    names = sorted({" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 7))) for _ in range(700)})
-    names += ["", ",", "Gap", "Gap, Inc.", "The Gap", "Zoo fun", "zoo", "Apple Inc.", "The A An"]
-    df = spark.createDataFrame([(n, n) for n in names] + [(None, None)], "name string, copy string")
-    got = {r.name: r.core for r in trim_company_names(df, {"name": "core"}, words(spark)).collect()}
-    dictionary = {w.lower() for w in WORDS}
-    assert got == {None: None, **{n: core_of(n, dictionary) for n in names}}
+    parts = ["Apple", "Bank", "of", "the", "A", "Zyx", "Qua", "Inc.", "Corp", "Group,", "gap", "ETF", "  ", "xy", "(US)"]
+    names = sorted({" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 7))) for _ in range(500)})
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    plain = {n: n.lower().replace(".", "").replace(",", "") for n in names}
+    for r in trim_company_names(df, {"name": "core"}, words(spark)).collect():
+        if r.core is None or r.core == plain[r.name]:
+            continue
+        core = r.core.split()
+        assert len(r.core) > 3 and core[0] not in ARTICLES
+        before = " ".join(r.name.split(",")[0].lower().split())
+        assert f" {r.core} " in f" {before} "
+        known = [w in {x.lower() for x in WORDS} for w in core]
+        later = [i for i in range(1, len(core)) if not known[i]]
+        assert not later or not any(known[later[0] :])
 
 
 def test_rows_are_kept_when_names_repeat(spark):

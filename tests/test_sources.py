@@ -75,3 +75,10 @@ def test_shuffles_are_sized(spark):
         assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_symbol_columns_by_name_and_doubled_quotes(spark, tmp_path):
+    path = tmp_path / "named.csv"
+    path.write_text('longName|exchange|symbol|shortName\n"Foo ""Bar"" Inc"|NYSE|AAA|Foo\n')
+    row = read_symbols(spark, str(path)).first()
+    assert (row.symbol, row.shortName, row.longName) == ("AAA", "Foo", 'Foo "Bar" Inc')

@@ -87,3 +87,14 @@ def test_slice_stats_and_selection(spark):
     assert got[("A", "2024-01-01 00:00:00")] == ("2024-01-01 00:00:00", "2024-01-03 00:00:00", 3)
     assert got[("C", "2023-12-30 00:00:00")] == ("2023-12-30 00:00:00", "2024-01-02 00:00:00", 0)
     assert sorted(r.id for r in incremental_select(posts(spark), since).collect()) == ["2", "3"]
+
+
+def test_nothing_is_kept_between_calls(spark, tmp_path):
+    """A file added from outside is seen by the next call."""
+    path, schema = str(tmp_path / "posts"), "symbol string, id string, datetime timestamp"
+    for day in (1, 2):
+        spark.createDataFrame([("A", str(day))], "symbol string, id string").selectExpr(
+            "symbol", "id", f"timestamp'2024-01-0{day} 00:00:00' AS datetime"
+        ).write.mode("append").parquet(path)
+        assert [r.id for r in newest(spark.read.schema(schema).parquet(path)).collect()] == [str(day)]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

@@ -107,3 +107,26 @@ def test_routing(spark):
     assert route_by_network(both, tables) == {REDDIT: 1, TWITTER: 1}
     with pytest.raises(ValueError, match="unknown network"):
         route_by_network(both.withColumn("network", F.lit("other")), tables)
+
+
+def test_missing_staged_rows_stop_a_delete(spark, table, monkeypatch):
+    table.insert_ignore(rows(spark, [("A", str(i), f"2024-01-{i:02}", i) for i in range(1, 9)]))
+    before = stored(table)
+    monkeypatch.setattr(PostTable, "_laid_out", staticmethod(lambda df: df.limit(1)))
+    with pytest.raises(RuntimeError, match="nothing was deleted"):
+        table.delete_recent("2024-01-08", 48)
+    assert stored(table) == before
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from postlake import session
+
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Elsewhere, "staged")

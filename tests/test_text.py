@@ -1,4 +1,4 @@
-"""Text functions against plain Python restatements of their rules."""
+"""Text functions: hand-written cases, and properties on random input."""
 
 import random
 
@@ -13,18 +13,6 @@ def squeezed(text):
     return " ".join(text.split())
 
 
-def shortened(text, limit):
-    """Take sentences until more than ``limit`` characters are held."""
-    if len(text) <= limit:
-        return text
-    held = ""
-    for sentence in text.split(". "):
-        if len(held) > limit:
-            break
-        held += sentence.strip() + ". "
-    return held + "[...]"
-
-
 def run(spark, texts, expression):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
     return [r[1] for r in sorted(df.select("i", expression(F.col("x"))).collect())]
@@ -37,12 +25,33 @@ def test_normalize_matches_python(spark):
     assert run(spark, texts, normalize_text) == [squeezed(t) for t in texts]
 
 
-def test_truncate_matches_python(spark):
+CUT_AT_10 = [
+    ("0123456789", "0123456789"),  # not beyond the limit
+    ("01234567890", "01234567890. [...]"),  # beyond it, without a sentence end
+    ("01234567890. b", "01234567890. [...]"),  # the end beyond the limit is kept whole
+    ("0123. 5678. 0123. 5678. x", "0123. 5678. [...]"),
+    ("a. bcdefghijklm. n. o", "a. bcdefghijklm. [...]"),
+    ("abc . defghijkl. m", "abc. defghijkl. [...]"),  # a space before the stop belongs to no sentence
+    ("", ""),
+]
+
+
+def test_truncate_cases(spark):
+    got = run(spark, [text for text, _ in CUT_AT_10], lambda c: truncate_sentences(c, 10))
+    assert got == [short for _, short in CUT_AT_10]
+
+
+def test_truncate_properties(spark):
     rng = random.Random(2)
-    texts = [squeezed("".join(rng.choice("ab . . é") for _ in range(rng.randrange(90)))) for _ in range(900)]
-    texts += ["x. " * 30 + "end", ". . . . . . . . . . . . . . . .", "a" * 41, "a" * 40, "a" * 39 + ". b"]
-    texts = [squeezed(t) for t in texts]
-    assert run(spark, texts, lambda c: truncate_sentences(c, 40)) == [shortened(t, 40) for t in texts]
+    texts = [squeezed("".join(rng.choice("ab. é") for _ in range(rng.randrange(90)))) for _ in range(900)]
+    for text, short in zip(texts, run(spark, texts, lambda c: truncate_sentences(c, 40))):
+        if len(text) <= 40:
+            assert short == text
+            continue
+        assert short.endswith(". [...]")
+        held = short.removesuffix("[...]")
+        assert len(held) > 40
+        assert text.replace(" ", "").startswith(held.removesuffix(". ").replace(" ", ""))
 
 
 def test_truncate_edges(spark):
