@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postlake.llm.tables import staged
@@ -17,15 +17,21 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connect the smaller neighbours of every node, and itself, to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") / 2), F.sum(F.xxhash64("b", "a") / 3)).first()
-    return tuple(row)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written and read back, and what identifies them: how many, and sums of their hashes, all whole numbers
+    so that no order of adding changes them."""
+    seen = Observation()
+    hashed = F.xxhash64("a", "b")
+    marks = (F.count(F.lit(1)).alias("n"), F.bit_xor(hashed).alias("x"), F.sum(F.pmod(hashed, F.lit(1 << 31))).alias("s"))
+    out = staged(edges.observe(seen, *marks), "edges")
+    found = seen.get
+    return out, (found["n"], found["x"], found["s"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -34,11 +40,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round is written to the shared folder. The rounds end when every edge points to its root, which takes about
     the logarithm of the longest chain; aggregates are partial before they are shuffled, so a hub costs no more.
     """
-    edges = staged(edges.filter("a <> b").select("a", "b").distinct(), "edges")
+    edges, now = _written(edges.filter("a <> b").select("a", "b").distinct())
     before = None
-    while True:
-        now = _state(edges)
-        if now[0] == 0 or now == before:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    while now[0] and now != before:
         before = now
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        edges, now = _written(_small_star(_large_star(edges)))
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("root"))

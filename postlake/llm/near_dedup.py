@@ -9,10 +9,10 @@
 3. Components of these candidate pairs hold every link that the trees recalled. Their texts are fetched once and the
    links confirmed on full shingle sets; the answer is the components of the confirmed links.
 
-Large groups are never compared pair by pair: all members are compared with about ``PIVOTS`` of them, and the links
-found so far are joined up. Members of the group's largest component need no comparison with each other; the rest is
-compared with all members, in blocks (at once if it is small or the trees are ``ROUNDS`` deep, else after branching).
-No link between components is lost and no task gets a whole large group.
+Large groups are never compared pair by pair: all members are compared with about ``PIVOTS`` of them. Members linked
+with the pivot that has most links are in one component and need no comparison with each other; the others are compared
+with all members, in blocks (at once if they are few or the trees are ``ROUNDS`` deep, else after branching). No link
+between components is lost and no task gets a whole large group.
 
 Recall: a pair at similarity s misses every root branch with probability (1 - s) ** (TREES * BRANCHES), 4e-9 at 0.8,
 and falls below ``CLOSE`` with probability 5e-7; both are below for larger s.
@@ -43,8 +43,8 @@ COORDINATES = 64
 CLOSE = 36
 TREES, BRANCHES = 6, 2
 LEAF = 128
-ROUNDS = 4
-PIVOTS = 16
+ROUNDS = 1
+PIVOTS = 6
 BLOCK = 256  # pivots of a part
 PART = 2048  # members of a part, about
 
@@ -177,79 +177,95 @@ def _in_groups(df: DataFrame, keys: list[str], order: list[str], run, schema: st
 
 
 def _parts(pivots: DataFrame, members: DataFrame, run) -> DataFrame:
-    """Links (a, b) between pivots (cluster, chunk, rep, data) and members (cluster, rep, data, size) of their cluster.
+    """``run`` over pivots and members (cluster, chunk, rep, data, size), each chunk of pivots with every part.
 
-    Members of a large cluster are dealt to parts, and each chunk of pivots meets every part.
+    Members of a large cluster are dealt to parts of about ``PART``, to each of which its pivots are copied.
     """
     parts = F.ceil(F.col("size") / PART).cast("long")
-    chunks = pivots.select("cluster", "chunk").distinct()
-    sizes = members.groupBy("cluster").agg(F.max("size").alias("size"))
-    given = pivots.join(sizes, "cluster").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    taken = members.join(chunks, "cluster").withColumn("salt", F.pmod(F.xxhash64("rep"), parts))
+    given = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    taken = members.withColumn("salt", F.pmod(F.xxhash64("rep"), parts))
     part = F.xxhash64("cluster", "chunk", "salt").alias("part")
-    rows = given.select(part, F.lit(0).alias("rank"), "rep", "data").union(
-        taken.select(part, F.lit(1).alias("rank"), "rep", "data")
+    rows = given.select(part, F.lit(0).alias("rank"), "rep", "data", "cluster").union(
+        taken.select(part, F.lit(1).alias("rank"), "rep", "data", "cluster")
     )
-    return _in_groups(rows, ["part"], ["rank", "rep"], run, "a long, b long")
+    return _in_groups(rows, ["part"], ["rank", "rep"], run, "a long, b long, cluster long")
 
 
-def _some(members: DataFrame) -> DataFrame:
-    """About ``PIVOTS`` members of each cluster."""
-    chosen = F.pmod(F.xxhash64("cluster", "rep"), F.col("size")) < PIVOTS
-    return members.filter(chosen).withColumn("chunk", F.lit(0).cast("long")).select("cluster", "chunk", "rep", "data")
+def _linked_with_some(members: DataFrame, run) -> DataFrame:
+    """Links (a, b, cluster) of about ``PIVOTS`` members of each cluster with all its members, themselves included."""
+    members = members.withColumn("chunk", F.lit(0).cast("long"))
+    return _parts(members.filter(F.pmod(F.xxhash64("cluster", "rep"), F.col("size")) < PIVOTS), members, run)
 
 
 def _outside(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members that the links don't join with most of their cluster, as pivots in chunks, with their count ``rest``."""
-    labels = connected_components(links)
-    named = members.select("cluster", "rep").join(labels, F.col("rep") == F.col("id"), "left")
-    named = named.select("cluster", "rep", F.coalesce("root", "rep").alias("label"))
+    """The clusters' members that ``links`` leave apart from the pivot with most links: all columns, ``out``, ``rest``.
+
+    Members linked with one pivot are in one component. Clusters without others are gone; ``rest`` counts the others.
+    """
     most = (
-        named.groupBy("cluster", "label")
+        links.groupBy("cluster", "a")
         .agg(F.count("*").alias("n"))
         .groupBy("cluster")
-        .agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.max("n").alias("n"))
-        .select("cluster", "most", (F.col("all") - F.col("n")).alias("rest"))
+        .agg(F.max_by("a", F.struct("n", "a")).alias("a"))
     )
-    outside = staged(named.join(most, "cluster").filter("label <> most").select("cluster", "rep", "rest"), "outside")
-    chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("rest") / BLOCK).cast("long"))
-    return outside.withColumn("chunk", chunk)
+    joined = links.join(most, ["cluster", "a"]).select("cluster", F.col("b").alias("rep")).distinct()
+    flagged = members.join(joined.withColumn("joined", F.lit(True)), ["cluster", "rep"], "left")
+    flagged = flagged.withColumn("out", F.col("joined").isNull()).drop("joined")
+    rest = flagged.filter("out").groupBy("cluster").agg(F.count("*").alias("rest"))
+    return staged(flagged.join(rest, "cluster"), "outside")
 
 
-def _with_data(outside: DataFrame, members: DataFrame) -> DataFrame:
-    return members.select("cluster", "rep", "data").join(outside, ["cluster", "rep"]).select("cluster", "chunk", "rep", "data")
+def _others_with_all(outside: DataFrame, run) -> DataFrame:
+    """Links of the members left apart, in chunks of about ``BLOCK``, with all members."""
+    chunks = F.ceil(F.col("rest") / BLOCK).cast("long")
+    pivots = outside.filter("out").withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks))
+    members = outside.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    return _parts(pivots, members, run)
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Close pairs of pivots (rank 0) and members of each part (part, rank, rep, sketch), spanning the part."""
-    held, reps, sketches, forest, a, b = None, [], [], None, [], []
-    for batch in batches:
-        columns = (batch.column(i).to_pylist() for i in range(4))
-        for part, rank, rep, data in zip(*columns):
-            if part != held:
-                held, reps, sketches, forest = part, [], [], None
-            row = np.frombuffer(data, np.uint8)
-            if rank == 0:
-                reps.append(rep)
-                sketches.append(row)
+def _linked(find, pivots: list[int], spanning: bool, links: list[tuple], forest: Forest, rep: int, one, cluster: int) -> None:
+    """Add a member's links to the pivots: all, or to one of each component of pivots, which the member joins up."""
+    found = find(one)
+    for j in found:
+        if not spanning or j == found[0] or forest.join(found[0], j):
+            links.append((pivots[j], rep, cluster))
+
+
+def _against(index_of, values_of, spanning: bool):
+    """A task over parts (part, rank, rep, data, cluster): pivots, of rank 0, are indexed, then members are looked up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, pivots, values, find, forest = None, [], [], None, None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            if forest is None:
-                sketches, forest = np.array(sketches).reshape(-1, COORDINATES), Forest(len(reps))
-            close = np.flatnonzero((sketches == row).sum(axis=1) >= CLOSE).tolist()
-            _span(forest, reps, rep, close, a, b)
-        yield _edges(a, b)
-        a, b = [], []
+            links: list[tuple] = []
+            parts, ranks, reps, clusters = (batch.column(i).to_pylist() for i in (0, 1, 2, 4))
+            for part, rank, rep, cluster, one in zip(parts, ranks, reps, clusters, values_of(batch.column(3))):
+                if part != held:
+                    held, pivots, values, find = part, [], [], None
+                if rank == 0:
+                    pivots.append(rep)
+                    values.append(one)
+                    continue
+                if find is None:
+                    find, forest = index_of(values), Forest(len(pivots))
+                if pivots:
+                    _linked(find, pivots, spanning, links, forest, rep, one, cluster)
+            columns = [pa.array(c, pa.int64()) for c in zip(*links)] or [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "cluster"])
+
+    return run
+
 
+def _sketches(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v, np.uint8) for v in column.to_pylist()]
 
-def _span(forest: Forest, reps: list[int], rep: int, linked: list[int], a: list[int], b: list[int]) -> None:
-    """Edges from a member to one pivot of each component of pivots that it is linked with, which it joins up."""
-    if not linked:
-        return
-    for j in linked:
-        if j == linked[0] or forest.join(linked[0], j):
-            if reps[j] != rep:
-                a.append(reps[j])
-                b.append(rep)
+
+def _close(sketches: list[np.ndarray]):
+    """Positions of the sketches close to one."""
+    rows = np.array(sketches).reshape(-1, COORDINATES)
+    return lambda one: np.flatnonzero((rows == one).sum(axis=1) >= CLOSE).tolist()
 
 
 def candidate_pairs(reps: DataFrame) -> DataFrame:
@@ -266,16 +282,16 @@ def candidate_pairs(reps: DataFrame) -> DataFrame:
         found.append(staged(_in_groups(leaves, ["cluster"], ["rep"], _compare_leaves, "a long, b long"), "pairs"))
         if large.isEmpty():
             break
-        found.append(staged(_parts(_some(large), large, _close), "pairs"))
-        outside = _outside(large, _union(found))
+        links = staged(_linked_with_some(large, _against(_close, _sketches, spanning=False)), "pairs")
+        outside = _outside(large, links)
         last = depth == ROUNDS
         ready = outside if last else outside.filter(F.col("rest") <= BLOCK)
-        found.append(staged(_parts(_with_data(ready, large), large, _close), "pairs"))
+        more = staged(_others_with_all(ready, _against(_close, _sketches, spanning=True)), "pairs")
+        found += [links.select("a", "b"), more.select("a", "b")]
         if last:
             break
-        open_ = outside.filter(F.col("rest") > BLOCK).select("cluster").distinct()
-        live = staged(_branches(large.join(open_, "cluster")), "branches")
-    return _union(found).distinct()
+        live = staged(_branches(outside.filter(F.col("rest") > BLOCK)), "branches")
+    return _union(found).filter("a <> b").distinct()
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -356,45 +372,28 @@ def _confirm_small(size: int):
     return run
 
 
-def _confirm_parts(size: int):
-    """Links of pivots (rank 0) and members of each part (part, rank, rep, text), spanning the part."""
-
-    def run(batches):
-        held, reps, sets, index, forest, a, b = None, [], [], None, None, [], []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts, ranks, ids = (batch.column(i).to_pylist() for i in range(3))
-            for part, rank, rep, one in zip(parts, ranks, ids, _sets(batch.column(3), size)):
-                if part != held:
-                    held, reps, sets, index = part, [], [], None
-                if rank == 0:
-                    reps.append(rep)
-                    sets.append(one)
-                    continue
-                if index is None:
-                    index, forest = Inverted(sets), Forest(len(reps))
-                _span(forest, reps, rep, np.flatnonzero(index.similar(one)).tolist(), a, b)
-            yield _edges(a, b)
-            a, b = [], []
-
-    return run
-
-
 def confirmed_links(docs: DataFrame, clusters: DataFrame, size: int) -> DataFrame:
     """Links (a, b) on full sets that span every component within the clusters (rep, cluster)."""
     counts = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     texts = docs.select(F.col("doc_id").alias("rep"), F.col("text").alias("data"))
-    members = clusters.join(counts, "cluster").join(texts, "rep").select("cluster", "rep", "data", "size")
+    # the same plan at every size: texts are shuffled by id once, no table that grows with them is broadcast
+    members = clusters.join(counts, "cluster").hint("merge").join(texts, "rep").select("cluster", "rep", "data", "size")
     members = staged(members, "members")
     small = members.filter(F.col("size") <= BLOCK).select("cluster", "rep", "data")
     found = [staged(_in_groups(small, ["cluster"], ["rep"], _confirm_small(size), "a long, b long"), "links")]
     large = members.filter(F.col("size") > BLOCK)
     if not large.isEmpty():
-        run = _confirm_parts(size)
-        found.append(staged(_parts(_some(large), large, run), "links"))
-        outside = _outside(large, found[-1])
-        found.append(_parts(_with_data(outside, large), large, run))
+
+        def sets(column: pa.Array) -> list[np.ndarray]:
+            return _sets(column, size)
+
+        def linked(values: list[np.ndarray]):
+            index = Inverted(values)
+            return lambda one: np.flatnonzero(index.similar(one)).tolist()
+
+        links = staged(_linked_with_some(large, _against(linked, sets, spanning=False)), "links")
+        more = _others_with_all(_outside(large, links), _against(linked, sets, spanning=True))
+        found += [links.select("a", "b"), more.select("a", "b")]
     return _union(found)
 
 

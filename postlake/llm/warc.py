@@ -4,7 +4,7 @@ Only headers (page_id, digest, size) are shuffled by payload digest, summed up b
 their verdict in a join by page_id, which is even however many pages share a payload. Records are packed in tasks into
 archives of about ``ARCHIVE_BYTES`` (one record may be larger); Spark's text writer stores each as one gzip file, its
 line end being the last byte of the last record. Reading parses whole archives, measures and hashes payloads anew and
-joins revisit records to the responses they name.
+joins revisit records to the responses they name; responses that are named meet their revisits under ``SALTS`` keys.
 
 Defined results: a null or empty html is an empty payload, always a response. Of equal payloads of at least
 ``MIN_REVISIT_BYTES`` the smallest page_id is the response; rows that repeat that page_id are responses too. A null
@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm.tables import table
+from postlake.llm.tables import staged, table
 from postlake.session import shared_dir
 
 ARCHIVE_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 100
+SALTS = 32  # over which the revisits of one response are spread
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -163,22 +164,25 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    parsed = files.mapInArrow(parse, _PARSED)
+    parsed = staged(files.mapInArrow(parse, _PARSED), "headers")
+    told = parsed.filter("kind = 'revisit'").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    named = told.select(F.col("names").alias("record_id")).distinct()
     originals = (
         parsed.filter("kind = 'response'")
+        .join(named, "record_id", "left_semi")
         .groupBy("record_id")
         .agg(F.first("page_id").alias("o_page"), F.first("bytes").alias("o_bytes"), F.first("digest").alias("o_digest"))
-        .withColumnRenamed("record_id", "o_record")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        .withColumnsRenamed({"record_id": "o_record", "salt": "o_salt"})
     )
-    return parsed.join(originals, F.col("names") == F.col("o_record"), "left").select(
-        "page_id",
-        "url",
-        F.coalesce("bytes", "o_bytes").alias("payload_bytes"),
-        F.coalesce("digest", "o_digest").alias("payload_digest"),
-        F.col("kind").alias("record_type"),
-        F.when(F.col("kind") == "revisit", F.col("o_page")).alias("refers_to"),
-        F.col("told").alias("told_digest"),
+    to_original = (F.col("names") == F.col("o_record")) & (F.col("salt") == F.col("o_salt"))
+    resolved = told.join(originals, to_original, "left")
+    out = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "told_digest"]
+    responses = parsed.filter("kind <> 'revisit'").select(
+        "page_id", "url", "bytes", "digest", "kind", F.lit(None).cast("long"), "told"
     )
+    revisits = resolved.select("page_id", "url", "o_bytes", "o_digest", "kind", "o_page", "told")
+    return responses.toDF(*out).union(revisits.toDF(*out))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
