@@ -2,7 +2,7 @@
 
 A pattern proposes spans, a validator (Luhn, mod-97, number ranges, digit counts) confirms them, and words shortly
 before a span raise its score. The four base kinds are reported whatever their score; the kinds this method adds
-(IBAN, national telephone and social security numbers) need ``MIN_SCORE`` and must not overlap a base span.
+(IBAN, national telephone and social security numbers) need ``MIN_SCORE`` and must not lie within a base span.
 
 Positions: a text is split by a pattern and its matches are listed; piece and match lengths alternate, so running sums
 give the spans. The sums run over blocks of ``BLOCK`` matches, so a text with very many matches stays near linear.
@@ -52,7 +52,7 @@ def _mod97(match: Column) -> Column:
         code = F.ascii(char)
         return F.when(code < 65, rest * 10 + code - 48).otherwise(rest * 100 + code - 55) % 97
 
-    return F.length(plain).between(15, 34) & (F.aggregate(F.split(turned, "(?!^)"), F.lit(0), step) == 1)
+    return F.length(plain).between(15, 34) & (F.aggregate(F.regexp_extract_all(turned, F.lit("."), F.lit(0)), F.lit(0), step) == 1)
 
 
 @dataclass(frozen=True)
@@ -167,7 +167,7 @@ def find_spans(docs: DataFrame, text: str, out: str) -> DataFrame:
     added = F.concat(*[F.col(steps[k.name]) for k in KINDS if not k.base])
     clear = F.filter(
         added,
-        lambda s: ~F.exists(F.col(f"{out}_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s: ~F.exists(F.col(f"{out}_base"), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
     )
     every = F.when(F.size(added) == 0, F.col(f"{out}_base")).otherwise(
         F.sort_array(F.concat(F.col(f"{out}_base"), clear))
