@@ -1,7 +1,8 @@
 """Personal data by pattern, checksum and context, in built-in column functions only.
 
 A pattern proposes spans, a validator (Luhn, mod-97, number ranges, digit counts) confirms them, and words shortly
-before a span raise its score. The four base kinds are reported whatever their score; the kinds this method adds
+before or after a span raise its score. Other matches of the kind don't count as text there, and kinds that need such a
+word look around the whole list their span is in (matches with only a separator between them), however long. The four base kinds are reported whatever their score; the kinds this method adds
 (IBAN, national telephone and social security numbers) need ``MIN_SCORE`` and must not lie within a base span.
 
 Positions: a text is split by a pattern and its matches are listed; piece and match lengths alternate, so running sums
@@ -24,6 +25,7 @@ from postlake.llm.tables import table
 
 BLOCK = 128
 CONTEXT_CHARS = 48
+AFTER_CHARS = 32
 CHUNK_CHARS = 4096
 MIN_SCORE = 0.5
 
@@ -83,17 +85,21 @@ KINDS = [
          lambda m: ~m.rlike("^(?:000|666|9)"), 0.3, r"\bssn\b|social security", base=False),
 ]
 CONTEXT_BONUS = 0.25
+#: What may lie between two entries of a list.
+_SEPARATOR = r"(?i)^[^\p{L}\p{N}]{0,12}(?:(?:and|or|und|oder|et|ou|y|o)[^\p{L}\p{N}]{1,6})?$"
+SEPARATOR_CHARS = 20
 BASE_NAMES = [k.name for k in KINDS if k.base]
 
 
 def _steps(text: Column, kind: Kind) -> Column:
-    """Each match with the length of the text before it and that text's end; the last entry has no match."""
+    """Each match with the length of the text before it and that text's ends; the last entry has no match."""
     listed = F.zip_with(
         F.split(text, kind.pattern, -1),
         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
         lambda piece, match: F.struct(
             F.length(piece).alias("gap"),
-            F.when(match.isNotNull(), F.substring(piece, -CONTEXT_CHARS, CONTEXT_CHARS)).alias("before"),
+            F.substring(piece, 1, AFTER_CHARS).alias("head"),
+            F.substring(piece, -CONTEXT_CHARS, CONTEXT_CHARS).alias("tail"),
             match.alias("match"),
         ),
     )
@@ -108,25 +114,65 @@ def _sum(steps: Column, start: Column) -> Column:
     return F.aggregate(steps, start, lambda total, x: total + _width(x))
 
 
-def _spans(blocks: Column, before: Column, number: int, kind: Kind) -> Column:
-    def span(x: Column, start: Column) -> Column:
-        score = F.lit(kind.score) + F.when(F.lower(x["before"]).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+def _lists(steps: Column) -> Column:
+    """How many matches of its list lie before and after each match."""
+    joined = F.transform(
+        steps,
+        lambda x: F.when((x["gap"] <= SEPARATOR_CHARS) & x["match"].isNotNull() & x["head"].rlike(_SEPARATOR), "+").otherwise("|"),
+    )
+    lists = F.regexp_extract_all(F.array_join(joined, ""), F.lit(r".\+*+"), F.lit(0))
+    places = F.transform(
+        lists,
+        lambda r: F.transform(
+            F.sequence(F.lit(1), F.length(r)), lambda i: F.struct((i - 1).alias("before"), (F.length(r) - i).alias("after"))
+        ),
+    )
+    return F.flatten(places)
+
+
+def _near(steps: Column, first: Column, last: Column, kind: Kind) -> Column:
+    """Whether a context word is near matches ``first`` to ``last``; matches are left out of the text around them."""
+    low = F.greatest(first - CONTEXT_CHARS + 1, F.lit(0))
+    before = F.transform(F.slice(steps, low + 1, first - low + 1), lambda x: x["tail"])
+    after = F.transform(F.slice(steps, last + 2, F.lit(AFTER_CHARS)), lambda x: x["head"])
+    return F.lower(F.substring(F.array_join(before, " "), -CONTEXT_CHARS, CONTEXT_CHARS)).rlike(kind.context) | F.lower(
+        F.substring(F.array_join(after, " "), 1, AFTER_CHARS)
+    ).rlike(kind.context)
+
+
+def _spans(steps: Column, lists: Column, blocks: Column, before: Column, number: int, kind: Kind) -> Column:
+    def proposal(x: Column, start: Column, at: Column) -> Column:
         return F.struct(
             (start + x["gap"]).alias("start"),
-            F.lit(number).alias("rank"),
             (start + _width(x)).alias("end"),
+            at.alias("at"),
+            (x["match"].isNotNull() & F.coalesce(kind.valid(x["match"]), F.lit(False))).alias("valid"),
+        )
+
+    def span(s: Column) -> Column:
+        first = last = s["at"]
+        if kind.score < MIN_SCORE:
+            place = F.get(lists, s["at"])
+            first, last = first - place["before"], last + place["after"]
+        score = F.lit(kind.score) + F.when(_near(steps, first, last, kind), CONTEXT_BONUS).otherwise(0.0)
+        return F.struct(
+            s["start"].alias("start"),
+            F.lit(number).alias("rank"),
+            s["end"].alias("end"),
             F.lit(kind.name).alias("kind"),
             F.round(score, 2).alias("score"),
-            (x["match"].isNotNull() & F.coalesce(kind.valid(x["match"]), F.lit(False))).alias("valid"),
+            s["valid"].alias("valid"),
         )
 
-    placed = F.zip_with(
-        blocks,
-        before,
-        lambda block, base: F.transform(block, lambda x, i: span(x, _sum(F.slice(block, F.lit(1), i), base))),
+    placed = F.transform(
+        F.arrays_zip(blocks.alias("block"), before.alias("base")),
+        lambda z, b: F.transform(
+            z["block"],
+            lambda x, i: proposal(x, _sum(F.slice(z["block"], F.lit(1), i), z["base"]), b * BLOCK + i),
+        ),
     )
-    accept = (lambda s: s["valid"]) if kind.base else (lambda s: s["valid"] & (s["score"] >= MIN_SCORE))
-    return F.filter(F.flatten(placed), accept)
+    spans = F.transform(F.filter(F.flatten(placed), lambda s: s["valid"]), span)
+    return spans if kind.base else F.filter(spans, lambda s: s["score"] >= MIN_SCORE)
 
 
 def _running(widths: Column) -> Column:
@@ -153,13 +199,15 @@ def find_spans(docs: DataFrame, text: str, out: str) -> DataFrame:
             F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(F.col(c), b * BLOCK + 1, F.lit(BLOCK))),
         ).otherwise(F.array(F.slice(F.col(c), 1, 0)))
 
-    made = made.withColumns({c: blocks(c) for c in steps.values()})
-    widths = {f"{c}_w": F.transform(F.col(c), lambda block: _sum(block, F.lit(0))) for c in steps.values()}
+    made = made.withColumns({f"{steps[k.name]}_l": _lists(F.col(steps[k.name])) for k in KINDS if k.score < MIN_SCORE})
+    made = made.withColumns({f"{c}_b": blocks(c) for c in steps.values()})
+    widths = {f"{c}_w": F.transform(F.col(f"{c}_b"), lambda block: _sum(block, F.lit(0))) for c in steps.values()}
     made = made.withColumns(widths)
     starts = {f"{c}_w": _running(F.col(f"{c}_w")) for c in steps.values()}
     made = made.withColumns(starts)
     found = {
-        steps[k.name]: _spans(F.col(steps[k.name]), F.col(f"{steps[k.name]}_w"), n, k) for n, k in enumerate(KINDS)
+        c: _spans(F.col(c), F.col(f"{c}_l"), F.col(f"{c}_b"), F.col(f"{c}_w"), n, k)
+        for n, (k, c) in enumerate(zip(KINDS, steps.values()))
     }
     made = made.withColumns(found)
     base = F.sort_array(F.concat(*[F.col(steps[k.name]) for k in KINDS if k.base]))

@@ -55,6 +55,22 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert kinds == {0: ["iban"], 1: [], 2: ["local_phone"], 3: [], 4: ["ssn"], 5: [], 6: ["phone"]}
 
 
+def test_one_context_word_serves_a_list_and_may_follow(spark):
+    numbers = [f"555-{100 + i}-{4567 + i}" for i in range(12)]
+    texts = [
+        "Call 555-123-4567 or 555-987-6543", "tel: 555-123-4567, 555-987-6543, (555) 111-2222.", "Call " + "; ".join(numbers),
+        "SSN 123-45-6789, 000-12-3456 and 234-56-7890", "social security:\n123-45-6789\n234-56-7890\n345-67-8901",
+        "555-123-4567 is my phone", "123-45-6789 and 234-56-7890 (SSN)", "part 555-123-4567 or 555-987-6543",
+        "Call me. " + "Nothing else is said about any number here at all. " + "555-123-4567", "ssn " + "123-45-6789\n" * 300,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = {r.i: r.f for r in q.find_spans(rows, "text", "f").collect()}
+    kinds = {i: [s.kind for s in f] for i, f in found.items()}
+    assert [len(kinds[i]) for i in range(9)] == [2, 3, 12, 2, 3, 1, 2, 0, 0] and len(kinds[9]) == 300
+    assert [texts[2][s.start : s.end] for s in found[2]] == numbers
+    assert [texts[3][s.start : s.end] for s in found[3]] == ["123-45-6789", "234-56-7890"]
+
+
 def test_redaction(spark):
     long = "é🙂x" * 2000
     texts = ["mail a@b.co or 1.2.3.4!", f"{long} a@b.co {long}", "none", None, "x@1.2.3.4 end"]
