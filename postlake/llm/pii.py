@@ -9,6 +9,8 @@ Positions: a text is split by a pattern and its matches are listed; piece and ma
 give the spans. The sums run over blocks of ``BLOCK`` matches, so a text with very many matches stays near linear.
 Quantifiers are possessive where nothing can be given back, and number and address patterns start at the start of a
 run (or after the previous match), so long runs cost no quadratic time and no deep recursion; the matches stay the same.
+An IBAN's pattern takes the country code alone and looks ahead for the rest, of the length that the country has, so
+neither what follows an IBAN nor a failed proposal before it hides it. Codes without a listed length take the whole run.
 
 Defined results: a null or empty text has no spans (counts 0, digest of the empty string). Repeated rows, equal and
 null ids each keep a row; other columns are left out of the query and kept by ``redacted``.
@@ -26,11 +28,28 @@ from postlake.llm.tables import table
 BLOCK = 128
 CONTEXT_CHARS = 48
 AFTER_CHARS = 32
+LONGEST_IBAN = 67  # with spaces
 CHUNK_CHARS = 4096
 MIN_SCORE = 0.5
 
 _LOCAL = "A-Za-z0-9._%+-"
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+#: Countries by the characters of their IBAN (ISO 13616, then codes in use outside the registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST" + " AO CV GW MZ", 26: "IS TR" + " DZ IR", 27: "BI DJ FR GR IT MC MR SM" + " CF CG CM GA GQ KM TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV" + " BF BJ CI MA MG ML NE SN TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_OF_LENGTH = "|".join(
+    rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()
+)
+_LISTED = " ".join(IBAN_LENGTHS.values()).replace(" ", "|")
+_IBAN = (
+    rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{_OF_LENGTH}|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}"
+    r"(?:\x20?[A-Z0-9]){11,30}+)(?![A-Za-z0-9])))[A-Z]{2}"
+)
 
 
 def _digits(match: Column) -> Column:
@@ -66,6 +85,8 @@ class Kind:
     score: float
     context: str
     base: bool = True
+    group: int = 0  # of the pattern, has the match
+    taken: int | None = None  # characters the pattern takes, where it looks ahead for the others
 
 
 KINDS = [
@@ -77,8 +98,8 @@ KINDS = [
          _luhn, 0.7, "card|visa|master|amex|credit|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]",
          _phone, 0.7, r"phone|\btel|call|mobile|fax|fon"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}",
-         _mod97, 0.7, "iban|account|bank|konto|compte|cuenta", base=False),
+    Kind("iban", _IBAN, "[A-Z]{2}[0-9]{2}",
+         _mod97, 0.7, "iban|account|bank|konto|compte|cuenta", base=False, group=1, taken=2),
     Kind("local_phone", r"(?<![0-9+(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
          r"[0-9]{3}\)?[\x20.-][0-9]{3}", lambda m: F.lit(True), 0.3, r"phone|\btel|call|mobile|fax", base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
@@ -95,10 +116,10 @@ def _steps(text: Column, kind: Kind) -> Column:
     """Each match with the length of the text before it and that text's ends; the last entry has no match."""
     listed = F.zip_with(
         F.split(text, kind.pattern, -1),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
+        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)),
         lambda piece, match: F.struct(
             F.length(piece).alias("gap"),
-            F.substring(piece, 1, AFTER_CHARS).alias("head"),
+            F.substring(piece, 1, AFTER_CHARS if kind.taken is None else AFTER_CHARS + LONGEST_IBAN).alias("head"),
             F.substring(piece, -CONTEXT_CHARS, CONTEXT_CHARS).alias("tail"),
             match.alias("match"),
         ),
@@ -106,12 +127,17 @@ def _steps(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.needs), listed).otherwise(F.slice(listed, 1, 0))
 
 
-def _width(step: Column) -> Column:
-    return step["gap"] + F.coalesce(F.length(step["match"]), F.lit(0))
+def _width(step: Column, kind: Kind) -> Column:
+    taken = F.length(step["match"]) if kind.taken is None else F.when(step["match"].isNotNull(), kind.taken)
+    return step["gap"] + F.coalesce(taken, F.lit(0))
 
 
-def _sum(steps: Column, start: Column) -> Column:
-    return F.aggregate(steps, start, lambda total, x: total + _width(x))
+def _sum(steps: Column, start: Column, kind: Kind) -> Column:
+    return F.aggregate(steps, start, lambda total, x: total + _width(x, kind))
+
+
+def _block_widths(blocks: Column, kind: Kind) -> Column:
+    return F.transform(blocks, lambda block: _sum(block, F.lit(0), kind))
 
 
 def _lists(steps: Column) -> Column:
@@ -130,13 +156,14 @@ def _lists(steps: Column) -> Column:
     return F.flatten(places)
 
 
-def _near(steps: Column, first: Column, last: Column, kind: Kind) -> Column:
+def _near(steps: Column, first: Column, last: Column, length: Column, kind: Kind) -> Column:
     """Whether a context word is near matches ``first`` to ``last``; matches are left out of the text around them."""
     low = F.greatest(first - CONTEXT_CHARS + 1, F.lit(0))
     before = F.transform(F.slice(steps, low + 1, first - low + 1), lambda x: x["tail"])
     after = F.transform(F.slice(steps, last + 2, F.lit(AFTER_CHARS)), lambda x: x["head"])
+    past = F.lit(1) if kind.taken is None else length - kind.taken + 1
     return F.lower(F.substring(F.array_join(before, " "), -CONTEXT_CHARS, CONTEXT_CHARS)).rlike(kind.context) | F.lower(
-        F.substring(F.array_join(after, " "), 1, AFTER_CHARS)
+        F.substr(F.array_join(after, " "), past, F.lit(AFTER_CHARS))
     ).rlike(kind.context)
 
 
@@ -144,7 +171,7 @@ def _spans(steps: Column, lists: Column, blocks: Column, before: Column, number:
     def proposal(x: Column, start: Column, at: Column) -> Column:
         return F.struct(
             (start + x["gap"]).alias("start"),
-            (start + _width(x)).alias("end"),
+            (start + x["gap"] + F.coalesce(F.length(x["match"]), F.lit(0))).alias("end"),
             at.alias("at"),
             (x["match"].isNotNull() & F.coalesce(kind.valid(x["match"]), F.lit(False))).alias("valid"),
         )
@@ -154,7 +181,7 @@ def _spans(steps: Column, lists: Column, blocks: Column, before: Column, number:
         if kind.score < MIN_SCORE:
             place = F.get(lists, s["at"])
             first, last = first - place["before"], last + place["after"]
-        score = F.lit(kind.score) + F.when(_near(steps, first, last, kind), CONTEXT_BONUS).otherwise(0.0)
+        score = F.lit(kind.score) + F.when(_near(steps, first, last, s["end"] - s["start"], kind), CONTEXT_BONUS).otherwise(0.0)
         return F.struct(
             s["start"].alias("start"),
             F.lit(number).alias("rank"),
@@ -168,7 +195,7 @@ def _spans(steps: Column, lists: Column, blocks: Column, before: Column, number:
         F.arrays_zip(blocks.alias("block"), before.alias("base")),
         lambda z, b: F.transform(
             z["block"],
-            lambda x, i: proposal(x, _sum(F.slice(z["block"], F.lit(1), i), z["base"]), b * BLOCK + i),
+            lambda x, i: proposal(x, _sum(F.slice(z["block"], F.lit(1), i), z["base"], kind), b * BLOCK + i),
         ),
     )
     spans = F.transform(F.filter(F.flatten(placed), lambda s: s["valid"]), span)
@@ -201,7 +228,7 @@ def find_spans(docs: DataFrame, text: str, out: str) -> DataFrame:
 
     made = made.withColumns({f"{steps[k.name]}_l": _lists(F.col(steps[k.name])) for k in KINDS if k.score < MIN_SCORE})
     made = made.withColumns({f"{c}_b": blocks(c) for c in steps.values()})
-    widths = {f"{c}_w": F.transform(F.col(f"{c}_b"), lambda block: _sum(block, F.lit(0))) for c in steps.values()}
+    widths = {f"{steps[k.name]}_w": _block_widths(F.col(f"{steps[k.name]}_b"), k) for k in KINDS}
     made = made.withColumns(widths)
     starts = {f"{c}_w": _running(F.col(f"{c}_w")) for c in steps.values()}
     made = made.withColumns(starts)

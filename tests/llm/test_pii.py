@@ -71,6 +71,22 @@ def test_one_context_word_serves_a_list_and_may_follow(spark):
     assert [texts[3][s.start : s.end] for s in found[3]] == ["123-45-6789", "234-56-7890"]
 
 
+def test_iban_ends_where_its_country_says(spark):
+    de, gb, fr = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606"
+    cases = [
+        (f"{de} BIC COBADEFFXXX", [de]), (f"{de} Please pay", [de]), (f"{de} 2024-01-01", [de]), (f"{gb} AND more", [gb]),
+        (f"{gb} BIC NWBKGB2L", [gb]), (f"{de} {gb} {fr} A", [de, gb, fr]), (f"BE12 {gb}", [gb]), (f"ZZ12 3456 7890 {de}", [de]),
+        (f"{de}X", []), (f"{de[:-1]}1 BIC", []), (f"é🙂 {gb}, 2024. {fr} Y{de}", [gb, fr]), (f"{de}\n" * 300, [de] * 300),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, text string")
+    found = {r.i: [s for s in r.f if s.kind == "iban"] for r in q.find_spans(rows, "text", "f").collect()}
+    assert [[t[s.start : s.end] for s in found[i]] for i, (t, _) in enumerate(cases)] == [want for _, want in cases]
+    near = spark.createDataFrame([(f"{gb} is my account",), (f"{gb} is mine",)], "text string")
+    assert [r.f[0].score for r in q.find_spans(near, "text", "f").collect()] == [0.95, 0.7]
+    out = q.redacted(spark.createDataFrame([(f"pay {de} BIC X, {gb} AND",)], "text string"), "text").collect()
+    assert out[0].text == "pay [IBAN] BIC X, [IBAN] AND"
+
+
 def test_redaction(spark):
     long = "é🙂x" * 2000
     texts = ["mail a@b.co or 1.2.3.4!", f"{long} a@b.co {long}", "none", None, "x@1.2.3.4 end"]
