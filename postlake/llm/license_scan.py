@@ -4,8 +4,11 @@ Blocks are the lines of a text and, for templates of many words, its paragraphs
 is found in a block that holds at least ``CONTAINMENT`` of its distinct words. The join is exact: template words are
 ordered by their frequency over all texts, rarest first; a block must hold one of the first ``size - needed + 1`` words
 (prefix filter), must have ``needed`` words at all (length filter), and the words still to come on both sides, counted
-from the match on, must suffice (positional filter). What passes is compared as sets of words. A template whose words all belong to another template found in the
-same block gives way to it.
+from the match on, must suffice (positional filter). What passes is compared as sets of words.
+
+With ``wrapped``, as the query has it, templates of few words are also found across the lines of a paragraph, in any
+window of about as many words as the template has. A template whose words all belong to another template found in the
+same block gives way to it only if, in each of its places, at least half of its words support the other one.
 
 The templates are a fixed list, so their few hundred words travel to the tasks; texts are not shuffled.
 
@@ -121,7 +124,9 @@ class Templates:
 
     def __init__(self, templates: list[tuple[str, str]], counts: dict[bytes, int], containment: float) -> None:
         self.labels = [label for label, _ in templates]
-        self.sets = [set(words) for words in spelled([text for _, text in templates])]
+        listed = spelled([text for _, text in templates])
+        self.sets = [set(words) for words in listed]
+        self.reach = [len(words) + max(2, len(words) // 4) for words in listed]  # words of a window
         self.needed = [max(1, math.ceil(containment * len(s) - 1e-9)) for s in self.sets]
         self.long = [len(s) >= LONG_TEMPLATE for s in self.sets]
         every = sorted({w for s in self.sets for w in s}, key=lambda w: (counts.get(w, 0), w))
@@ -132,13 +137,13 @@ class Templates:
             for place, word in enumerate(ordered[: len(ordered) - self.needed[t] + 1]):
                 self.prefix[word].append((t, place))
 
-    def match(self, block: list[bytes], paragraph: bool) -> list[tuple[int, float]]:
+    def candidates(self, block: list[bytes], long_only: bool) -> list[tuple[int, float]]:
         """Templates found in the template words of a block, with their containment."""
         words = sorted(set(block), key=self.rank.__getitem__)
         seen, out = set(), []
         for at, word in enumerate(words):
             for t, place in self.prefix.get(word, ()):
-                if t in seen or (paragraph and not self.long[t]) or len(words) < self.needed[t]:
+                if t in seen or (long_only and not self.long[t]) or len(words) < self.needed[t]:
                     continue
                 # words before this one hold no prefix word of the template, so the overlap starts here
                 if 1 + min(len(self.sets[t]) - place - 1, len(words) - at - 1) < self.needed[t]:
@@ -147,11 +152,75 @@ class Templates:
                 shared = len(self.sets[t].intersection(words))
                 if shared >= self.needed[t]:
                     out.append((t, shared / len(self.sets[t])))
+        return out
+
+    def match(self, block: list[bytes], paragraph: bool) -> list[tuple[int, float]]:
+        """Templates found in a line or, if long, a paragraph; one within another gives way."""
+        out = self.candidates(block, paragraph)
         names = [t for t, _ in out]
         return [(t, share) for t, share in out if not any(self.sets[t] < self.sets[u] for u in names)]
 
-
-def scan(column: pa.Array, vocabulary: Vocabulary, templates: Templates) -> list[pa.Array]:
+    def match_wrapped(self, block: list[bytes], at: list[int], paragraph: bool) -> list[tuple[int, float]]:
+        """Templates found in a block, short ones of a paragraph in windows of words; ``at`` has the places of words."""
+        found = {}
+        for t, share in self.candidates(block, False):
+            limit = self.reach[t] if paragraph and not self.long[t] else None
+            most, windows = self.windows(t, block, at, limit)
+            if windows:
+                found[t] = (share if limit is None else most / len(self.sets[t]), windows)
+        out = []
+        for t, (share, windows) in found.items():
+            around = [u for u in found if self.sets[t] < self.sets[u]]
+            taken = set().union(*[self.support(block, found[u][1], self.sets[u] - self.sets[t]) for u in around])
+            own = (len({block[i] for i in w if i not in taken}) for w in windows)
+            if not taken or any(2 * n > len(self.sets[t]) for n in own):
+                out.append((t, share))
+        return out
+
+    def windows(self, t: int, block: list[bytes], at: list[int], limit: int | None) -> tuple[int, list[list[int]]]:
+        """The most words of a template within ``limit`` words of text, and its shortest windows with enough of them."""
+        use = [i for i, w in enumerate(block) if w in self.sets[t]]
+        most, out = 0, []
+        for shrink in (False, True):
+            counts, low = defaultdict(int), 0
+            for high, i in enumerate(use):
+                counts[block[i]] += 1
+                while limit is not None and at[i] - at[use[low]] >= limit:
+                    low = self._drop(counts, block[use[low]], low)
+                most = max(most, len(counts))
+                if not shrink or len(counts) < self.needed[t]:
+                    continue
+                while counts[block[use[low]]] > 1 or len(counts) > self.needed[t]:
+                    low = self._drop(counts, block[use[low]], low)
+                out.append(use[low : high + 1])
+                low = self._drop(counts, block[use[low]], low)
+        return most, out
+
+    @staticmethod
+    def _drop(counts: dict[bytes, int], word: bytes, low: int) -> int:
+        counts[word] -= 1
+        if not counts[word]:
+            del counts[word]
+        return low + 1
+
+    def support(self, block: list[bytes], windows: list[list[int]], telling: set[bytes]) -> set[int]:
+        """Places of the words that a template stands on: of each window, closest first, those nearest to a telling word."""
+        chosen = []
+        for window in windows:
+            told = [i for i in window if block[i] in telling] or window
+            middle = min(told, key=lambda i: self.rank[block[i]])
+            nearest: dict[bytes, int] = {}
+            for i in sorted(window, key=lambda i: abs(i - middle)):
+                nearest.setdefault(block[i], i)
+            chosen.append((sum(abs(i - middle) for i in nearest.values()), window[0], nearest.values()))
+        taken: set[int] = set()
+        for _, _, places in sorted(chosen, key=lambda c: c[:2]):
+            if taken.isdisjoint(places):
+                taken.update(places)
+        return taken
+
+
+def scan(column: pa.Array, vocabulary: Vocabulary, templates: Templates, wrapped: bool = False) -> list[pa.Array]:
     """``FIELDS`` for each text."""
     phrases = [(spelled([p])[0], label) for p, label in PHRASES.items()]
     parts = [[] for _ in range(7)]
@@ -162,7 +231,7 @@ def scan(column: pa.Array, vocabulary: Vocabulary, templates: Templates) -> list
         at, which = vocabulary.find(words)
         row = np.searchsorted(words.first, at, side="right") - 1
         _phrases(words, at, which, row, vocabulary, phrases, places, base)
-        for t, r, share in _templates(words, at, which, row, vocabulary, templates):
+        for t, r, share in _templates(words, at, which, row, vocabulary, templates, wrapped):
             found[r][t] = max(share, found[r].get(t, 0.0))
         parts[0] += words.counts.tolist()
         for p, b, f in zip(places, base, found):
@@ -187,7 +256,7 @@ def _phrases(words: Words, at, which, row, vocabulary: Vocabulary, phrases, plac
                 base[r].add(label)
 
 
-def _templates(words: Words, at, which, row, vocabulary: Vocabulary, templates: Templates):
+def _templates(words: Words, at, which, row, vocabulary: Vocabulary, templates: Templates, wrapped: bool):
     """(template, text, containment) for each block with a prefix word."""
     prefix = np.array([w in templates.prefix for w in vocabulary.words] or [False])
     known = np.array([w in templates.rank for w in vocabulary.words] or [False])
@@ -205,9 +274,9 @@ def _templates(words: Words, at, which, row, vocabulary: Vocabulary, templates:
         starts = prefix[which]
         counts = np.add.reduceat(starts.astype(int), edges[:-1]) if len(key) else key
         for a, b in zip(edges[:-1][counts > 0].tolist() if len(key) else [], edges[1:][counts > 0].tolist() if len(key) else []):
-            block = [words.word(i) for i in at[a:b].tolist()]
-            block = [w for w in block if w in templates.rank]
-            for t, share in templates.match(block, kind):
+            places = at[a:b].tolist()
+            block = [words.word(i) for i in places]  # all of them words of templates
+            for t, share in templates.match_wrapped(block, places, kind) if wrapped else templates.match(block, kind):
                 yield t, int(row[a]), share
 
 
@@ -217,7 +286,7 @@ def scanned(
     every = {w for words in spelled([*PHRASES, *[text for _, text in templates]]) for w in words}
     vocabulary = Vocabulary(every)
     ordered = Templates(templates, frequencies(docs, vocabulary), containment)
-    return with_columns(docs, "text", lambda column: scan(column, vocabulary, ordered), FIELDS, keep)
+    return with_columns(docs, "text", lambda column: scan(column, vocabulary, ordered, wrapped=True), FIELDS, keep)
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 
 import pyarrow as pa
+import pytest
 
 from postlake.llm import license_scan as q
 
@@ -60,6 +61,25 @@ def test_equals_brute_force():
         assert scan(texts, containment) == [brute(t, containment=containment) for t in texts]
 
 
+BSD = "Redistribution and use in source and binary forms, with or without\n{0}modification, are permitted provided that the following conditions\n{0}are met:\n"
+GPL, LGPL, AGPL = (f"Licensed under the GNU {x}General Public License, version 3." for x in ("", "Lesser ", "Affero "))
+
+
+@pytest.mark.parametrize("text, labels", [
+    (BSD.format(""), "bsd"), ("x\n\n * " + BSD.format(" * ") + " * 1. Redistributions of source code", "bsd"),
+    ("# This Source Code Form is subject to the terms of the Mozilla Public License,\n# v. 2.0. If a copy", "mpl-2"),
+    ("This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0\nInternational License.", "cc-by-sa"),
+    ("\n".join(BSD.format("").split()), "bsd"), (BSD.format("").replace("with", "\n\nwith", 1), ""),
+    ("Released\n" + "word " * 40 + "\nunder the\n" + "word " * 40 + "\nMIT\nLicense", ""),
+    (f"{GPL} {LGPL}", "gpl-3,lgpl-3"), (f"{LGPL} {GPL}", "gpl-3,lgpl-3"), (f"{LGPL} {AGPL}", "agpl-3,lgpl-3"), (LGPL, "lgpl-3"),
+    (f"{LGPL} {LGPL} the license", "lgpl-3"), (LGPL.replace("Lesser ", "Lesser\n"), "lgpl-3"), (f"{GPL}\n{LGPL}", "gpl-3,lgpl-3"),
+    ("Licensed under the GNU General Public License, version 3, or the GNU Lesser General Public License, version 3.", "gpl-3,lgpl-3"),
+])
+def test_wrapped_and_neighbouring_notices(spark, text, labels):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert q.scanned(docs, ["doc_id"]).first().labels == labels
+
+
 def test_query_and_empty_tables(spark, small_dir, empty_dir, awkward_rows):
     rows = q.op7_license_scan(spark, small_dir).collect()
     assert len(rows) == len(awkward_rows)
