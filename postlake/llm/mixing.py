@@ -2,7 +2,7 @@
 
 A source's weight is its share of all tokens to a power, normalised. The exponent is bisected: the entropy of the
 weights falls as it rises, so it is found where the entropy meets ``target_entropy`` (a share of the largest possible);
-if a source would then be repeated more than ``max_epochs`` times, it is raised to where none is. Each round evaluates
+if a source would then be repeated more than ``max_epochs`` times, it is moved towards 1 to where none is. Each round evaluates
 ``SECTION`` exponents in one aggregate over the table of sources, so only sums reach the driver.
 
 Weights become rows within a budget of tokens: a source's quota is so many whole epochs of its documents and a rest.
@@ -88,9 +88,15 @@ def exponent(totals: DataFrame, budget: float | None, target_entropy: float, max
         found = 1.0
     else:
         found = _bisect(shares, lambda entropy, _: entropy >= goal, 0.0, LARGEST_EXPONENT)
-    if epochs * _measured(shares, [found])[0][1] > max_epochs * (1 + 1e-9) and found < 1:
-        # no exponent below 1 repeats less than 1 does, so the limit may be out of reach there
-        found = _bisect(shares, lambda _, ratio: epochs * ratio > max_epochs, found, 1.0)
+    if epochs * _measured(shares, [found])[0][1] > max_epochs * (1 + 1e-9):
+        # no exponent repeats less than 1 does, so the limit may be out of reach on both sides
+        if found < 1:
+            found = _bisect(shares, lambda _, ratio: epochs * ratio > max_epochs, found, 1.0)
+        elif epochs > max_epochs:
+            found = 1.0
+        elif found > 1:
+            # a hair below the limit, so that no rest is left for one more copy
+            found = _bisect(shares, lambda _, ratio: epochs * ratio <= max_epochs * (1 - 1e-6), 1.0, found)
     power = shares.agg(F.sum(F.pow("share", F.lit(found)))).first()[0]
     return found, power, everything
 

@@ -41,6 +41,17 @@ def test_repetition_limit_wins(spark):
     assert most <= 3 and weight["b"] == pytest.approx(3 * 5 / 505, rel=1e-3)
 
 
+def test_repetition_limit_wins_above_one(spark):
+    totals = spark.createDataFrame([(str(i), 5_000 if i == 0 else 1_000) for i in range(1_000)], "key string, total long")
+    free = {r.key: r for r in q.weights(totals, max_epochs=1e9).collect()}
+    assert free["0"].quota / 5_000 > 10  # what the entropy target alone asks for
+    for budget in (None, 2 * 1_004_000):
+        made = {r.key: r for r in q.weights(totals, budget=budget).collect()}
+        assert made["0"].quota / 5_000 == pytest.approx(q.MAX_EPOCHS, rel=1e-3) and made["0"].epochs <= q.MAX_EPOCHS
+        assert max(r.quota / r.total for r in made.values()) <= q.MAX_EPOCHS
+    assert q.exponent(totals, 5 * 1_004_000, q.TARGET_ENTROPY, q.MAX_EPOCHS)[0] == 1.0
+
+
 @pytest.mark.parametrize("sizes", [{"a": 7}, {"a": 5, "b": 5}])
 def test_equal_shares_stay_as_they_are(spark, sizes):
     assert {r.copies for r in q.copies(rows(spark, sizes)).collect()} == {1}
