@@ -15,7 +15,7 @@ with all members, in blocks (at once if they are few or the trees are ``ROUNDS``
 between components is lost and no task gets a whole large group.
 
 Recall: a pair at similarity s misses every root branch with probability (1 - s) ** (TREES * BRANCHES), 4e-9 at 0.8,
-and falls below ``CLOSE`` with probability 5e-7; both are below for larger s.
+and falls below ``CLOSE`` with probability 4e-6; both are below for larger s.
 
 Defined results: null, empty and word-less texts have no shingles and are their own component. A text of fewer words
 than a shingle has one shingle of all its words. Repeated rows keep their rows and share a component; texts that
