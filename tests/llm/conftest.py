@@ -42,12 +42,15 @@ def small_dir(spark, awkward, tmp_path_factory):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     pages = [(1, "u", "<article><p>a</p></article>" * 10), (2, "v", "<article><p>a</p></article>" * 10), (3, None, None)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    vectors = [(i, [rng.uniform(-1, 1) for _ in range(4)], i % 3) for i in range(0, 300, 10)] + [(5, None, 1), (6, [None], 1), (None, [0.1], 2)]
+    made = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")
+    made.selectExpr("*", "'x' AS id", "0 AS rank", "'y' AS block", "1 AS score").write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, small_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{small_dir}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return folder
