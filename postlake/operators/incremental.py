@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.times import SLICE_DAYS, as_ts, slice_start
-from postlake.operators.sizing import broadcast_if_small
+from postlake.operators.sizing import broadcast_if_small, stored
 
 Time = Column | dt.datetime | str
 
@@ -47,8 +47,9 @@ def slice_stats(posts: DataFrame, points: DataFrame, until: Time, days: int = SL
     """Per symbol and slice: first and last post time and count; an empty slice shows its bounds, 0.
 
     Counts are reduced per (symbol, slice) before they meet the grid, so a hot symbol moves one
-    small row per task.
+    small row per task. The points are computed once.
     """
+    points = stored(points, "points")
     anchors, _ = broadcast_if_small(points.select("symbol", "since"))
     placed = (
         posts.select("symbol", "datetime")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.text import any_of, has_phrase, padded_tokens, token_string
 from postlake.operators.enrich import CONTEXT_WORDS
-from postlake.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, compute_once
+from postlake.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, compute_once, stored
 
 PADDED = "_padded"
 FALLBACK_SALTS = 32
@@ -38,8 +38,9 @@ def prepare_terms(terms: DataFrame, cashtags: bool = False, document_counts: Dat
     The anchor is the phrase's rarest word by ``document_counts``, else the word that fewest phrases
     share, the longer one of two. The earlier phrases let a match be reported once per post and
     symbol, at the first of the symbol's terms that holds, with no ``distinct`` over the posts
-    afterwards.
+    afterwards. The terms are computed once, however many steps here read them.
     """
+    terms = stored(terms, "terms")
     carried = [c for c in terms.columns if c not in ("symbol", "term_no", "term", "needs_context")]
     phrases = terms.withColumn("phrase", token_string(F.col("term"), cashtags)).where(F.col("phrase") != "")
     words = phrases.select("phrase").distinct().select("phrase", F.explode(F.split("phrase", " ")).alias("token"))
@@ -70,22 +71,24 @@ def _tokens(padded: Column) -> Column:
     return F.array_distinct(F.split(F.trim(padded), " "))
 
 
-def _verified(context_words: tuple[str, ...], has_anchor: bool) -> Column:
-    """The phrase holds, in context if it needs one, and no earlier term of the symbol holds.
+def _verified(pairs: DataFrame, context_words: tuple[str, ...], has_anchor: bool) -> DataFrame:
+    """Pairs whose phrase holds, in context if it needs one, and no earlier term of the symbol holds.
 
-    ``has_anchor``: the anchor is known to be in this very text, which settles one-word phrases.
+    ``has_anchor``: the anchor is known to be in this very text, which settles one-word phrases. Earlier terms are looked
+    up only for pairs that hold, and after the join, which stays in generated code so.
     """
     padded = F.col(PADDED)
     in_context = any_of([F.contains(padded, F.lit(f" {w} ")) for w in context_words])
     found = has_phrase(padded, F.col("phrase"))
     if has_anchor:
         found = (F.col("phrase") == F.col("anchor")) | found
-    holds = found & (~F.col("needs_context") | in_context)
 
     def any_in(phrases: str) -> Column:
         return (F.size(phrases) > 0) & F.exists(phrases, lambda p: has_phrase(padded, p))
 
-    return holds & ~(any_in("_earlier") | (any_in("_earlier_in_context") & in_context))
+    holding = pairs.where(found & (~F.col("needs_context") | in_context))
+    is_first = ~(any_in("_earlier") | (any_in("_earlier_in_context") & in_context))
+    return compute_once(holding, "_first", is_first).where("_first").drop("_first")
 
 
 def match_symbols(
@@ -111,7 +114,7 @@ def match_symbols(
     if not small:
         return _match_by_shuffle(padded, ready, id_cols, context_words).select(*out)
     words = padded.select("*", F.explode(_tokens(F.col(PADDED))).alias("anchor"))
-    return words.join(ready, "anchor").where(_verified(context_words, has_anchor=True)).select(*out)
+    return _verified(words.join(ready, "anchor"), context_words, has_anchor=True).select(*out)
 
 
 def _match_by_shuffle(
@@ -119,8 +122,11 @@ def _match_by_shuffle(
 ) -> DataFrame:
     """Only (post id, word) pairs are shuffled, salted since common words are hot; the texts join
     the few candidates afterwards. Copies of one id share their candidates, and each is verified by its
-    own text; where such copies are many, adaptive execution splits their side of that join."""
-    ids = list(id_cols)
+    own text; where such copies are many, adaptive execution splits their side of that join. Posts without
+    an id are told apart by their text, so that they are not one key."""
+    ids = [*id_cols, "_of_text"]
+    unnamed = any_of([F.col(i).isNull() for i in id_cols])
+    padded = padded.withColumn("_of_text", F.when(unnamed, F.xxhash64(PADDED)))
     keys = padded.select(*ids, F.explode(_tokens(F.col(PADDED))).alias("anchor"))
     keys = keys.join(ready.select("anchor").distinct(), "anchor", "left_semi").withColumn(
         "_salt", F.pmod(F.xxhash64(*ids), F.lit(FALLBACK_SALTS)).cast("int")
@@ -129,7 +135,7 @@ def _match_by_shuffle(
     named = {i: f"_key_{n}" for n, i in enumerate(ids)}
     candidates = keys.join(salted, ["anchor", "_salt"]).drop("_salt").withColumnsRenamed(named).distinct()
     same = [padded[i].eqNullSafe(candidates[k]) for i, k in named.items()]
-    return padded.join(candidates, same).where(_verified(context_words, has_anchor=False))
+    return _verified(padded.join(candidates, same), context_words, has_anchor=False)
 
 
 def is_true_match(body: Column, symbol: Column, matches: list[Column]) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlake.session import shared_dir
+
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -18,16 +20,25 @@ def fits_broadcast(
     return n <= max_rows and b <= max_bytes
 
 
+def stored(df: DataFrame, purpose: str = "side") -> DataFrame:
+    """The frame written once to the shared folder and read back, for a side that several steps read.
+
+    Nothing is kept in executors, and a later call writes its own copy, so changed files are seen.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> tuple[DataFrame, bool]:
-    """The frame with a broadcast hint when its measured size allows it, and whether it did.
-
-    Nothing is kept: a kept frame would answer for its files as they were, also to later calls.
-    """
-    if fits_broadcast(df, max_rows, max_bytes):
-        return F.broadcast(df), True
-    return df, False
+    """The frame, computed once and :func:`stored`, with a broadcast hint when its measured size allows it, and
+    whether it did."""
+    side = stored(df)
+    if fits_broadcast(side, max_rows, max_bytes):
+        return F.broadcast(side), True
+    return side, False
 
 
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -44,7 +55,7 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Deal the rows of a plain scan over all cores when it has fewer splits than there are cores,
-    as with one large file that cannot be split. A scan with enough splits is left alone."""
+    """Deal the rows of a plain scan of fewer files than there are cores over all cores, as with one large file that
+    cannot be split. A scan of enough files is left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -14,41 +14,45 @@ def size_by_symbol(posts: DataFrame, symbols: DataFrame | None = None) -> DataFr
     return counts if symbols is None else symbols.select("symbol").join(counts, "symbol", "left")
 
 
-def get_first(posts: DataFrame, order_by: str = "datetime", order: str = "DESC") -> DataFrame:
+def get_first(posts: DataFrame, order_by: str = "datetime", order: str = "DESC", stored: bool = False) -> DataFrame:
     """Per symbol the row with the largest (``DESC``) or smallest ``order_by``, NULL being smallest.
 
-    Ties go to the largest id for ``DESC`` and the smallest for ``ASC``. The best values are found
-    from two narrow columns first, and only rows that have them are read in full.
+    Ties go to the largest id for ``DESC`` and the smallest for ``ASC``. ``posts`` are read once, and a task passes on
+    one row a symbol. Of ``stored`` posts, where reading again is cheap and reading texts is not, the best values
+    are found from two narrow columns first, and only rows that have them are read in full.
     """
     if order not in ("ASC", "DESC"):
         raise ValueError(f"order must be ASC or DESC, not {order!r}")
     value = F.struct(F.col(order_by).isNotNull().alias("known"), F.col(order_by).alias("v"))
-    if order == "DESC":
-        best, pick = F.max(order_by), F.max_by
-    else:
-        any_null = F.max(F.col(order_by).isNull())
-        best, pick = F.when(any_null, F.lit(None)).otherwise(F.min(order_by)), F.min_by
-    narrow = posts.groupBy("symbol").agg(best.alias("_best"))
-    narrow = narrow.withColumnRenamed("symbol", "_symbol")
-    narrow, _ = broadcast_if_small(narrow)
-    top = posts.join(
-        narrow, (F.col("symbol") == F.col("_symbol")) & F.col(order_by).eqNullSafe(F.col("_best"))
-    ).drop("_symbol", "_best")
+    pick = F.max_by if order == "DESC" else F.min_by
+    if stored:
+        posts = _with_best_value(posts, order_by, order)
     rest = [c for c in posts.columns if c != "symbol"]
     return (
-        top.groupBy("symbol")
+        posts.groupBy("symbol")
         .agg(pick(F.struct(*rest), F.struct(value, "id")).alias("r"))
         .select("symbol", "r.*")
         .select(*posts.columns)
     )
 
 
-def newest(posts: DataFrame) -> DataFrame:
-    return get_first(posts, "datetime", "DESC")
+def _with_best_value(posts: DataFrame, order_by: str, order: str) -> DataFrame:
+    if order == "DESC":
+        best = F.max(order_by)
+    else:
+        best = F.when(F.max(F.col(order_by).isNull()), F.lit(None)).otherwise(F.min(order_by))
+    narrow, _ = broadcast_if_small(posts.groupBy(F.col("symbol").alias("_symbol")).agg(best.alias("_best")))
+    return posts.join(
+        narrow, (F.col("symbol") == F.col("_symbol")) & F.col(order_by).eqNullSafe(F.col("_best"))
+    ).drop("_symbol", "_best")
+
+
+def newest(posts: DataFrame, stored: bool = False) -> DataFrame:
+    return get_first(posts, "datetime", "DESC", stored)
 
 
-def oldest(posts: DataFrame) -> DataFrame:
-    return get_first(posts, "datetime", "ASC")
+def oldest(posts: DataFrame, stored: bool = False) -> DataFrame:
+    return get_first(posts, "datetime", "ASC", stored)
 
 
 def sort_comments(comments: DataFrame) -> DataFrame:

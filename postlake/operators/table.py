@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +83,12 @@ class PostTable:
             raise ValueError(f"{self.name} was created with {made} buckets, not {self.n_buckets}")
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        """Drop the table with its key index and the folders that deletes moved partitions to."""
+        moved = f"{self._root()}_versions" if self.exists() else None
+        for name in (self.keys_name, self.name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if moved:
+            remove_dir(self.spark, moved)
 
     def read(self, symbols: list[str] | None = None) -> DataFrame:
         """Stored rows; with ``symbols`` only their buckets are scanned."""
@@ -117,70 +122,162 @@ class PostTable:
         """Append rows whose (symbol, id) is not stored yet, each once; returns how many.
 
         Rows missing a required value stop the job (see ``split_valid`` for setting them aside).
-        Only keys in the buckets of the batch are read. ``stable_datetime`` also limits them to the
-        batch's months, which is exact as long as a post never changes its time.
+        Stored keys are looked up in the key index, in the buckets of the batch and between its smallest and largest
+        id of each; no other column of the table is read. ``stable_datetime`` also limits them to the batch's months,
+        which is exact as long as a post never changes its time. The batch is computed once, into the shared
+        folder; nothing is kept in executors.
         """
         self.create()
-        fresh = first_versions(self._placed(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.repair_keys()
+        work = shared_dir(self.spark, "insert")
         try:
-            parts = fresh.select(*(PARTITION if stable_datetime else PARTITION[:1])).distinct().collect()
-            if not parts:
-                return 0
-            stored = self.read().where(F.col("symbol_bucket").isin(*{p["symbol_bucket"] for p in parts}))
-            if stable_datetime:
-                stored = stored.where(F.col("month").isin(*{p["month"] for p in parts}))
-            keys, _ = broadcast_if_small(fresh.select("symbol", "id"))
-            known = stored.select("symbol", "id").join(keys, ["symbol", "id"], "left_semi")
-            known = known.persist(StorageLevel.MEMORY_AND_DISK)
+            fresh = self._written(first_versions(self._placed(batch)), f"{work}/fresh")
+            known = self._written(self._known_keys(fresh, stable_datetime), f"{work}/known")
             n_new = fresh.count() - known.count()
             if n_new:
-                new = fresh.join(known, ["symbol", "id"], "left_anti")
-                self._laid_out(new.select(*self.columns, *PARTITION)).write.insertInto(self.name)
+                with self._changing_keys():
+                    new = fresh.join(known, ["symbol", "id"], "left_anti")
+                    self._laid_out(new.select(*self.columns, *PARTITION)).write.insertInto(self.name)
+                    keys = fresh.select("symbol", "id", *PARTITION).join(known, ["symbol", "id"], "left_anti")
+                    self._keys_laid_out(keys).write.insertInto(self.keys_name)
             self.spark.catalog.refreshTable(self.name)
-            known.unpersist()
             return n_new
         finally:
-            fresh.unpersist()
+            remove_dir(self.spark, work)
+
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        schema = rows.schema
+        rows.write.parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    # Key index: (symbol, id) of every stored row in the table's partitions, sorted by id, so that the bounds of files
+    # and row groups tell which of them a batch can have keys in.
+
+    @property
+    def keys_name(self) -> str:
+        return f"{self.name}_keys"
+
+    def _known_keys(self, fresh: DataFrame, stable_datetime: bool) -> DataFrame:
+        """Keys of ``fresh`` that are stored."""
+        by = PARTITION if stable_datetime else PARTITION[:1]
+        found = fresh.groupBy(*by).agg(F.min("id").alias("low"), F.max("id").alias("high")).collect()  # a row a partition
+        inside = F.lit(False)
+        for p in found:
+            here = F.col("id").between(p["low"], p["high"])
+            for column in by:
+                here = here & (F.col(column) == p[column])
+            inside = inside | here
+        self.spark.catalog.refreshTable(self.keys_name)
+        stored_keys = self.spark.table(self.keys_name).where(inside).select("symbol", "id")
+        keys, _ = broadcast_if_small(fresh.select("symbol", "id"))
+        return stored_keys.join(keys, ["symbol", "id"], "left_semi")
+
+    @staticmethod
+    def _keys_laid_out(keys: DataFrame) -> DataFrame:
+        placed = keys.select("symbol", "id", *PARTITION)
+        return placed.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, "id", "symbol")
+
+    def _property(self, key: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        return next((r["value"] for r in rows if r["key"] == key), None)
+
+    @contextmanager
+    def _changing_keys(self):
+        """Marks the index as behind the table until both are written; whatever fails in between, the mark stays and
+        the next insert makes the index anew."""
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('keys'='behind')")
+        yield
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('keys'='whole')")
+
+    def repair_keys(self) -> bool:
+        """Make the key index from the table where it is missing or behind; whether that was needed."""
+        if self.spark.catalog.tableExists(self.keys_name) and self._property("keys") != "behind":
+            return False
+        with self._changing_keys():
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.keys_name}")
+            self.spark.sql(
+                f"CREATE TABLE {self.keys_name} (symbol string, id string, symbol_bucket int, month string) "
+                f"USING parquet OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY ({', '.join(PARTITION)})"
+            )
+            self._keys_laid_out(self.read()).write.insertInto(self.keys_name)
+        return True
 
     def delete_where(self, condition: Column, pruning: Column | None = None) -> int:
         """Delete the rows for which ``condition`` is true; returns how many.
 
-        Only partitions holding such rows change. The rows to keep are staged in the shared folder and counted; the
-        delete stops before it changes anything if any is missing. Then they replace their partitions, and partitions
-        that keep no row are dropped. The staged copy is removed at the end; after a failure it stays.
+        Only partitions holding such rows change. Each kept row of them is written once, to a new folder; the rows there
+        are counted, and the delete stops before it changes anything if any is missing. Then each partition is pointed to
+        its new folder (or dropped, if it keeps no row), one at a time, so a reader finds it as it was or without the
+        deleted rows. Old folders go last: a delete that fails before that leaves a whole table and unused folders.
         """
         rows = self.read() if pruning is None else self.read().where(pruning)
-        touched = rows.where(condition).groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
+        deleted_rows = F.count_if(F.coalesce(condition, F.lit(False)))
+        found = rows.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n"), deleted_rows.alias("deleted"))
+        touched = found.where(F.col("deleted") > 0).collect()  # a row a partition
         if not touched:
             return 0
-        deleted = sum(p["n"] for p in touched)
+        in_touched = self._in_partitions(touched)
+        # a partition's rows can lie outside the pruning condition; then they are kept
+        keep = self.read().where(in_touched).where(~F.coalesce(condition, F.lit(False)))
+        version = f"{self._root()}_versions/{uuid.uuid4().hex[:12]}"
+        self._laid_out(keep.select(*self.columns, *PARTITION)).write.partitionBy(*PARTITION).parquet(version)
+        written = self.spark.read.schema(keep.select(*self.columns, *PARTITION).schema).parquet(version)
+        counts = {
+            (p["symbol_bucket"], p["month"]): p["n"]
+            for p in written.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
+        }
+        deleted = sum(p["deleted"] for p in touched)
+        whole = self.read().where(in_touched).count() if pruning is not None else sum(p["n"] for p in touched)
+        if sum(counts.values()) != whole - deleted:
+            raise RuntimeError(
+                f"{sum(counts.values())} of {whole - deleted} rows to keep were written to {version}; nothing was deleted"
+            )
+        with self._changing_keys():
+            old = [self._swap(p["symbol_bucket"], p["month"], version, counts) for p in touched]
+            self.spark.catalog.refreshTable(self.name)
+            self._replace_keys(touched, in_touched)
+        for folder in filter(None, old):
+            remove_dir(self.spark, folder)
+        return deleted
+
+    @staticmethod
+    def _in_partitions(partitions: list) -> Column:
         by_month: dict[str, list[int]] = {}
-        for p in touched:
+        for p in partitions:
             by_month.setdefault(p["month"], []).append(p["symbol_bucket"])
-        in_touched = F.lit(False)
+        inside = F.lit(False)
         for month, buckets in by_month.items():
-            in_touched = in_touched | ((F.col("month") == month) & F.col("symbol_bucket").isin(*buckets))
-        before = self.read().where(in_touched)
-        keep = before.where(~F.coalesce(condition, F.lit(False)))
-        staged_path = shared_dir(self.spark, "staged")
-        self._laid_out(keep).write.parquet(staged_path)
-        staged = self.spark.read.schema(keep.schema).parquet(staged_path)
-        counts = staged.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
-        held, expected = sum(p["n"] for p in counts), before.count() - deleted
-        if held != expected:
-            raise RuntimeError(f"{held} of {expected} rows to keep were staged in {staged_path}; nothing was deleted")
-        remaining = {(p["symbol_bucket"], p["month"]) for p in counts}
-        if remaining:
-            self._laid_out(staged).write.insertInto(self.name, overwrite=True)
-        empty = [p for p in touched if (p["symbol_bucket"], p["month"]) not in remaining]
-        if empty:
-            specs = ", ".join(
-                f"PARTITION (symbol_bucket={p['symbol_bucket']}, month='{p['month']}')" for p in empty
-            )
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
-        self.spark.catalog.refreshTable(self.name)
-        remove_dir(self.spark, staged_path)
-        return deleted
+            inside = inside | ((F.col("month") == month) & F.col("symbol_bucket").isin(*buckets))
+        return inside
+
+    def _root(self) -> str:
+        return self._detail(f"DESCRIBE TABLE EXTENDED {self.name}")
+
+    def _detail(self, statement: str) -> str:
+        """The first folder that a description names: of a partition, where it is one."""
+        return next(r["data_type"] for r in self.spark.sql(statement).collect() if r["col_name"] == "Location").rstrip("/")
+
+    def _swap(self, bucket: int, month: str, version: str, counts: dict) -> str | None:
+        """Point a partition to its new folder, or drop it with its files; the folder it had before, if that is left."""
+        spec = f"PARTITION (symbol_bucket={bucket}, month='{month}')"
+        if (bucket, month) not in counts:
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {spec}")
+            return None
+        before = self._detail(f"DESCRIBE TABLE EXTENDED {self.name} {spec}")
+        self.spark.sql(
+            f"ALTER TABLE {self.name} {spec} SET LOCATION '{version}/symbol_bucket={bucket}/month={month}'"
+        )
+        return before
+
+    def _replace_keys(self, touched: list, in_touched: Column) -> None:
+        """The index of changed partitions, from their rows."""
+        if not self.spark.catalog.tableExists(self.keys_name):
+            return
+        left = self.read().where(in_touched).select("symbol", "id", *PARTITION)
+        specs = ", ".join(f"PARTITION (symbol_bucket={p['symbol_bucket']}, month='{p['month']}')" for p in touched)
+        self.spark.sql(f"ALTER TABLE {self.keys_name} DROP IF EXISTS {specs}")
+        self._keys_laid_out(left).write.insertInto(self.keys_name)
+        self.spark.catalog.refreshTable(self.keys_name)
 
     def drop_symbol(self, symbol: str) -> int:
         """Remove all rows of a symbol."""
@@ -207,7 +304,7 @@ class PostTable:
     def get_first(self, symbol: str | None = None, order_by: str = "datetime", order: str = "DESC") -> DataFrame:
         """First row by any column, of one symbol (a top-1 scan of its bucket) or of each."""
         if symbol is None:
-            return get_first(self.read().select(*self.columns), order_by, order)
+            return get_first(self.read().select(*self.columns), order_by, order, stored=True)
         columns = [F.col(order_by), F.col("id")]
         keys = [c.desc_nulls_last() if order == "DESC" else c.asc_nulls_first() for c in columns]
         return self.read([symbol]).select(*self.columns).orderBy(*keys).limit(1)
@@ -220,8 +317,18 @@ class PostTable:
 
 
 def route_by_network(rows: DataFrame, tables: dict[str, PostTable], network: str = "network") -> dict[str, int]:
-    """Insert each row into its network's table; an unknown network stops the job before any write."""
-    unknown = rows.where(F.col(network).isNull() | ~F.col(network).isin(*tables)).select(network).limit(1).collect()
-    if unknown:
-        raise ValueError(f"unknown network {unknown[0][0]!r}, expected one of {tuple(tables)}")
-    return {n: t.insert_ignore(rows.where(F.col(network) == n)) for n, t in tables.items()}
+    """Insert each row into its network's table; an unknown network stops the job before any write.
+
+    The rows are computed once, into one folder a network, and the check is part of that write.
+    """
+    spark = rows.sparkSession
+    work = shared_dir(spark, "routed")
+    known = F.col(network).isin(*tables)
+    unknown = F.concat(F.lit("unknown network "), F.coalesce(F.col(network), F.lit("NULL")))
+    checked = F.when(known, F.col(network)).otherwise(F.raise_error(unknown))
+    try:
+        rows.withColumn(network, checked).write.partitionBy(network).parquet(work)
+        routed = spark.read.schema(rows.schema).parquet(work)
+        return {n: t.insert_ignore(routed.where(F.col(network) == n)) for n, t in tables.items()}
+    finally:
+        remove_dir(spark, work)

@@ -84,6 +84,21 @@ def test_copies_of_one_post_are_all_tagged(spark):
     assert {(r.symbol, r.body): r["count"] for r in rows[0]}[("AAA", "the apple")] == 1500
 
 
+def test_posts_without_id_are_no_hot_key_and_terms_run_once(spark):
+    _, posts = posts_of(spark)
+    unnamed = posts.select(F.lit(None).cast("string").alias("id"), "body")
+    found = [
+        sorted(map(tuple, match_symbols(unnamed, terms_of(spark), max_rows=n).select("symbol", "body").collect())) for n in (1000, 0)
+    ]
+    assert found[0] == found[1] and found[0]
+    runs = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda x: runs.add(1) or x, "string")
+    terms = terms_of(spark)
+    n = terms.count()
+    match_symbols(posts, terms.withColumn("term", counted.asNondeterministic()("term"))).collect()
+    assert runs.value == n
+
+
 def test_plan_joins_by_word_without_shuffling_posts(spark, plan_of):
     _, posts = posts_of(spark)
     plan = plan_of(match_symbols(posts, terms_of(spark)))

@@ -105,7 +105,7 @@ def test_routing(spark):
     twitter = rows(spark, [("A", "1", "2024-01-01", 1)], TWEET_FIELDS).withColumn("network", F.lit(TWITTER))
     both = reddit.unionByName(twitter, allowMissingColumns=True)
     assert route_by_network(both, tables) == {REDDIT: 1, TWITTER: 1}
-    with pytest.raises(ValueError, match="unknown network"):
+    with pytest.raises(Exception, match="unknown network other"):
         route_by_network(both.withColumn("network", F.lit("other")), tables)
 
 
@@ -130,3 +130,77 @@ def test_no_local_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Elsewhere, "staged")
+
+
+def test_insert_reads_the_key_index_only_where_the_batch_can_be(spark, table, plan_of):
+    """Of many months, one month's keys: no text is read, and only row groups whose ids can be in the batch."""
+    for month in range(1, 7):
+        values = [(s, f"{month}-{i:03}", f"2024-{month:02}-03", 1) for s in "AB" for i in range(40)]
+        assert table.insert_ignore(rows(spark, values)) == 80
+    batch = first_versions(table._placed(rows(spark, [(s, f"6-{i:03}", "2024-06-03", 2) for s in "AB" for i in range(50)])))
+    for stable in (False, True):
+        known = table._known_keys(batch, stable)
+        plan = plan_of(known)
+        assert known.count() == 80
+        assert "body" not in plan and f"{table.network}_keys" in plan
+        assert "GreaterThanOrEqual(id,6-000)" in plan and "PartitionFilters: [" in plan
+    read = [f for f in known.inputFiles() if "_keys" in f]
+    assert all("month=2024-06" in f for f in read)
+
+
+def test_key_index_follows_inserts_and_deletes(spark, table):
+    def keys():
+        return sorted(tuple(r) for r in spark.table(table.keys_name).select("symbol", "id").collect())
+
+    def held():
+        return sorted((r.symbol, r.id) for r in table.read().collect())
+
+    values = [(s, f"{d}", f"2024-0{m}-{d:02d}", 1) for s in "ABC" for m, d in ((1, 1), (1, 15), (2, 20))]
+    table.insert_ignore(rows(spark, values))
+    assert keys() == held() and not table.repair_keys()
+    table.delete_recent("2024-02-21", 24 * 3)
+    assert keys() == held() and len(held()) == 6
+    assert table.insert_ignore(rows(spark, values)) == 3
+    # a crash between both writes leaves the mark, and the next insert sees what is stored
+    bucket = table.read(["A"]).first().symbol_bucket
+    spark.sql(f"ALTER TABLE {table.name}_keys DROP PARTITION (symbol_bucket={bucket}, month='2024-01')")
+    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('keys'='behind')")
+    assert table.insert_ignore(rows(spark, values)) == 0
+    assert keys() == held()
+
+
+@pytest.mark.parametrize("broken", ["_swap", "_replace_keys"])
+def test_a_failed_delete_leaves_a_readable_table(spark, table, monkeypatch, broken):
+    values = [(s, f"{d}", f"2024-0{m}-{d:02d}", 1) for s in "ABCDEF" for m, d in ((1, 1), (1, 15), (2, 20))]
+    table.insert_ignore(rows(spark, values))
+    before = stored(table)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(PostTable, broken, fail)
+        with pytest.raises(OSError):
+            table.delete_where(F.col("id") == "15")
+    left = [r for r in before if broken == "_swap" or r[1] != "15"]
+    assert stored(table) == left
+    assert table.insert_ignore(rows(spark, values)) == len(before) - len(left)
+    assert table.delete_where(F.col("id") == "15") == 6
+    assert len(stored(table)) == 12
+
+
+def test_a_delete_writes_each_kept_row_once(spark, table, monkeypatch):
+    table.insert_ignore(rows(spark, [("A", str(i), f"2024-01-{i:02}", i) for i in range(1, 9)]))
+    laid = []
+    real = PostTable._laid_out
+    monkeypatch.setattr(PostTable, "_laid_out", staticmethod(lambda df: laid.append(df.count()) or real(df)))
+    assert table.delete_recent("2024-01-08", 48) == 2
+    assert laid == [6]
+
+
+def test_nothing_is_persisted_and_work_folders_go(spark, table):
+    kept = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    table.insert_ignore(rows(spark, [("A", "1", "2024-01-01", 1)]))
+    with pytest.raises(Exception, match="required value"):
+        table.insert_ignore(rows(spark, [("A", None, "2024-01-01", 1)]))
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) == kept
