@@ -43,7 +43,7 @@ def dictionary_scan(t):
 
 
 # What a response of each post holds: entries 0 to 4 show tweets, 5 is promoted, 6 has no id.
-_ENTRIES = f"""{POSTS_SQL},
+ENTRIES_SQL = f"""{POSTS_SQL},
   offs AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS pos),
   entries AS (
     SELECT p.*, pos, CASE WHEN pos = 1 THEN 'sq-I-t-' || (n * 10 + 1) WHEN pos = 5 THEN 'tweet-' || (n * 10)
@@ -61,7 +61,7 @@ _ENTRIES = f"""{POSTS_SQL},
 
 
 @check(
-    "timeline_entries", f"WITH {_ENTRIES} SELECT id AS response_id, pos AS entry_pos, entry_id FROM entries"
+    "timeline_entries", f"WITH {ENTRIES_SQL} SELECT id AS response_id, pos AS entry_pos, entry_id FROM entries"
 )
 def q_timeline_entries(t):
     return timeline_entries(t.responses).select("response_id", "entry_pos", F.col("entry.entryId").alias("entry_id"))
@@ -69,7 +69,7 @@ def q_timeline_entries(t):
 
 @check(
     "tweet_id_resolve",
-    f"WITH {_ENTRIES} SELECT id AS response_id, pos AS entry_pos, tid AS tweet_id FROM entries",
+    f"WITH {ENTRIES_SQL} SELECT id AS response_id, pos AS entry_pos, tid AS tweet_id FROM entries",
 )
 def q_tweet_id_resolve(t):
     return resolve_tweet_ids(timeline_entries(t.responses)).select("response_id", "entry_pos", "tweet_id")
@@ -77,7 +77,7 @@ def q_tweet_id_resolve(t):
 
 @check(
     "drop_promoted",
-    f"WITH {_ENTRIES} SELECT id AS response_id, pos AS entry_pos, entry_id FROM entries WHERE pos <> 5",
+    f"WITH {ENTRIES_SQL} SELECT id AS response_id, pos AS entry_pos, entry_id FROM entries WHERE pos <> 5",
 )
 def q_drop_promoted(t):
     return drop_promoted(timeline_entries(t.responses)).select(
@@ -87,7 +87,7 @@ def q_drop_promoted(t):
 
 @check(
     "entry_tweet_join",
-    f"""WITH {_ENTRIES} SELECT id AS response_id, pos AS entry_pos, tid AS tweet_id, length(
+    f"""WITH {ENTRIES_SQL} SELECT id AS response_id, pos AS entry_pos, tid AS tweet_id, length(
           CASE WHEN pos IN (1, 2, 3) THEN 'RT ' || pos || ': ' || body ELSE body END) AS n_chars FROM shown""",
 )
 def q_entry_tweet_join(t):
@@ -99,7 +99,7 @@ def q_entry_tweet_join(t):
 
 @check(
     "tweet_user_join",
-    f"""WITH {_ENTRIES} SELECT id AS response_id, tid AS tweet_id,
+    f"""WITH {ENTRIES_SQL} SELECT id AS response_id, tid AS tweet_id,
           CASE WHEN pos <> 3 THEN 'User_' || u END AS screen_name FROM shown""",
 )
 def q_tweet_user_join(t):
@@ -111,7 +111,7 @@ def q_tweet_user_join(t):
 
 @check(
     "retweet_enrich",
-    f"""WITH {_ENTRIES} SELECT tid AS tweet_id,
+    f"""WITH {ENTRIES_SQL} SELECT tid AS tweet_id,
           CASE WHEN pos = 1 THEN CAST(u AS VARCHAR) END AS user_rtid,
           CASE WHEN pos = 1 THEN body END AS user_rt,
           CASE WHEN pos = 1 THEN rtid END AS retweet_id,
@@ -128,7 +128,7 @@ def q_retweet_enrich(t):
 
 @check(
     "tweet_flatten",
-    f"""WITH {_ENTRIES} SELECT id AS response_id, pos AS entry_pos, CAST(tid AS BIGINT) AS id, full_text,
+    f"""WITH {ENTRIES_SQL} SELECT id AS response_id, pos AS entry_pos, CAST(tid AS BIGINT) AS id, full_text,
           'User_' || u AS screen_name, score AS favorite_count, rtid, pos = 1 AS has_retweet_data FROM flat""",
 )
 def q_tweet_flatten(t):
@@ -146,7 +146,7 @@ def q_tweet_flatten(t):
 
 @check(
     "tweet_rejects",
-    f"""WITH {_ENTRIES}
+    f"""WITH {ENTRIES_SQL}
         SELECT id AS response_id, pos AS entry_pos, NULL::VARCHAR AS tweet_id, 'no_tweet_id' AS reject_reason
         FROM entries WHERE pos = 6
         UNION ALL SELECT id, pos, tid, 'no_user' FROM shown WHERE pos = 3""",

@@ -16,11 +16,13 @@ from checks.inputs import (
     POSTS_SQL,
     START,
     TWEETS_SQL,
+    keep_sql,
     matched_sql,
     spread_time,
     squeeze_sql,
+    truncate_sql,
 )
-from checks.reading import COMMENTS_RAW_SQL
+from checks.reading import COMMENTS_RAW_SQL, ENTRIES_SQL
 from checks.registry import check
 from postlake.functions.times import slice_start
 from postlake.operators.incremental import (
@@ -42,6 +44,7 @@ from postlake.operators.stats import (
     sort_tweets,
 )
 from postlake.operators.table import PostTable, route_by_network, scratch_database
+from postlake.plans.job import Run, run_comments, run_tweets
 from postlake.plans.tweets import tag_tweets
 from postlake.schemas import REDDIT, TWITTER
 from postlake.session import shared_dir
@@ -352,7 +355,7 @@ def q_stream_insert_ignore(t):
         return prepare
 
     for version in ("v1", "v2"):
-        append_new(streamed_posts(t), table, prepare=matched(version)).awaitTermination()
+        append_new(streamed_posts(t), table, shared_dir(t.spark, "checkpoint"), matched(version)).awaitTermination()
     return _versions(table)
 
 
@@ -409,3 +412,63 @@ def q_event_slices(t):
         F.max("datetime").alias("last_datetime"),
     )
     return ntz(stats, "slice_start", "first_datetime", "last_datetime")
+
+
+# Incremental jobs from captured texts to the table: a run up to the cutoff, then one up to the end that leaves out symbols
+# with a post in the last hours before the cutoff and goes on from each other symbol's newest post.
+
+JOB_RECENCY = dt.timedelta(days=15, hours=6)
+
+
+def _two_runs_sql(kept: str) -> str:
+    """``kept`` names pairs (symbol, id, dt, n_chars) of all times."""
+    return f"""
+  run1 AS (SELECT * FROM {kept} WHERE dt > TIMESTAMP '{START}' AND dt < TIMESTAMP '{CUTOFF}'),
+  known AS (SELECT symbol, max(dt) AS newest FROM run1 GROUP BY symbol),
+  run2 AS (
+    SELECT k.* FROM {kept} k LEFT JOIN known USING (symbol)
+    WHERE dt > coalesce(newest, TIMESTAMP '{START}') AND dt < TIMESTAMP '{ASOF}'
+      AND NOT coalesce(newest > TIMESTAMP '{ASOF}' - INTERVAL 366 HOUR, false))
+  SELECT 1 AS run, symbol, id, dt AS datetime, n_chars FROM run1
+  UNION ALL SELECT 2, symbol, id, dt, n_chars FROM run2"""
+
+
+def _two_runs(t, network, go, text):
+    table, folder = new_table(t, network), shared_dir(t.spark, "runs")
+    for n, asof, recency in ((1, CUTOFF, None), (2, ASOF, JOB_RECENCY)):
+        go(Run(table, f"{folder}/{n}", asof, START, recency))
+    rows = table.read().select(
+        F.when(F.col("update_datetime") == F.lit(CUTOFF).cast("timestamp"), 1).otherwise(2).alias("run"),
+        "symbol", "id", "datetime", F.length(text).cast("bigint").alias("n_chars"),
+    )
+    return ntz(rows, "datetime")
+
+
+@check(
+    "run_comments",
+    f"""WITH {COMMENTS_RAW_SQL}, {POST_TERMS_SQL},
+          cc AS (SELECT * REPLACE ({squeeze_sql("body")} AS body), make_timestamp(created_utc * 1000000) AS dt
+                 FROM craw WHERE score > 0),
+          {matched_sql("cc", "body", "cterms", "pairs", CONTEXT)}, {truncate_sql("cc")},
+          tpairs AS (SELECT p.* REPLACE (coalesce(short, p.body) AS body) FROM pairs p LEFT JOIN cut ON p.id = cut.id),
+          kept AS (SELECT symbol, id, dt, length(body) AS n_chars FROM tpairs WHERE {keep_sql('body', CONTEXT)}),
+          {_two_runs_sql("kept")}""",
+)
+def q_run_comments(t):
+    return _two_runs(
+        t, REDDIT, lambda run: run_comments(run, t.pages, t.symbols, t.dictionary, context_words=CONTEXT), "body"
+    )
+
+
+@check(
+    "run_tweets",
+    f"""WITH {ENTRIES_SQL}, {POST_TERMS_SQL},
+          found AS (
+            SELECT tid AS id, date_trunc('second', ts) AS dt, {squeeze_sql("full_text")} AS full_text FROM flat
+            WHERE rtid IS NULL AND full_text NOT LIKE 'RT @%'),
+          {matched_sql("found", "full_text", "tterms", "tpairs", (), cashtags=True)},
+          kept AS (SELECT symbol, id, dt, length(full_text) AS n_chars FROM tpairs),
+          {_two_runs_sql("kept")}""",
+)
+def q_run_tweets(t):
+    return _two_runs(t, TWITTER, lambda run: run_tweets(run, t.responses, t.symbols, t.dictionary), "full_text")

@@ -177,21 +177,25 @@ class PostTable:
         placed = keys.select("symbol", "id", *PARTITION)
         return placed.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, "id", "symbol")
 
-    def _property(self, key: str) -> str | None:
+    def get_property(self, key: str) -> str | None:
+        """A value kept with the table."""
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
         return next((r["value"] for r in rows if r["key"] == key), None)
 
+    def set_property(self, key: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{key}'='{value}')")
+
     @contextmanager
     def _changing_keys(self):
         """Marks the index as behind the table until both are written; whatever fails in between, the mark stays and
         the next insert makes the index anew."""
-        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('keys'='behind')")
+        self.set_property("keys", "behind")
         yield
-        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('keys'='whole')")
+        self.set_property("keys", "whole")
 
     def repair_keys(self) -> bool:
         """Make the key index from the table where it is missing or behind; whether that was needed."""
-        if self.spark.catalog.tableExists(self.keys_name) and self._property("keys") != "behind":
+        if self.spark.catalog.tableExists(self.keys_name) and self.get_property("keys") != "behind":
             return False
         with self._changing_keys():
             self.spark.sql(f"DROP TABLE IF EXISTS {self.keys_name}")

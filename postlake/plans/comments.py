@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from postlake.operators.enrich import CONTEXT_WORDS, comment_terms, company_names
 from postlake.operators.filters import CommentFilter
 from postlake.operators.flatten import flatten_comments
-from postlake.operators.match import drop_false_positives, match_symbols
+from postlake.operators.match import is_true_match, match_symbols, name_columns
 from postlake.operators.project import clean_bodies, derive_comments, project_row, split_valid, truncate_bodies
 from postlake.schemas import COMMENT_FIELDS, REDDIT
 
@@ -19,21 +20,33 @@ def comment_symbol_terms(symbols: DataFrame, dictionary: DataFrame) -> DataFrame
     return comment_terms(company_names(symbols, dictionary), dictionary)
 
 
-def tag_comments(
+def comment_pairs(
     comments: DataFrame,
     terms: DataFrame,
     asof: Column | dt.datetime | str,
     search: CommentFilter | None = None,
     context_words: tuple[str, ...] = CONTEXT_WORDS,
 ) -> DataFrame:
-    """Flattened comments to stored-shape rows, one per comment and symbol, false positives removed.
+    """Flattened comments in stored shape, one row per comment and symbol it matches, with ``is_true``: whether the
+    stored body speaks of the symbol.
 
-    The search sees the full text; the false-positive filter sees the truncated body.
+    The search sees the full text; the false-positive test sees the truncated body.
     """
     clean = project_row(clean_bodies(derive_comments(comments, asof)), REDDIT)
     pairs = match_symbols((search or CommentFilter()).apply(clean), terms, "body", context_words=context_words)
-    kept = drop_false_positives(truncate_bodies(pairs), "body", context_words)
-    return kept.select(*[f.name for f in COMMENT_FIELDS], "symbol")
+    is_true = is_true_match(F.col("body"), F.col("symbol"), name_columns(context_words))
+    return truncate_bodies(pairs).select(*[f.name for f in COMMENT_FIELDS], "symbol", is_true.alias("is_true"))
+
+
+def tag_comments(
+    comments: DataFrame,
+    terms: DataFrame,
+    asof: Column | dt.datetime | str,
+    search: CommentFilter | None = None,
+    context_words: tuple[str, ...] = CONTEXT_WORDS,
+) -> DataFrame:
+    """:func:`comment_pairs` without false positives."""
+    return comment_pairs(comments, terms, asof, search, context_words).where("is_true").drop("is_true")
 
 
 def comments_to_store(

@@ -19,7 +19,7 @@ def tweet_symbol_terms(symbols: DataFrame, dictionary: DataFrame) -> DataFrame:
     return tweet_terms(named).select("symbol", "term_no", "term", "needs_context")
 
 
-def tag_tweets(
+def tweet_pairs(
     tweets: DataFrame,
     terms: DataFrame,
     asof: Column | dt.datetime | str,
@@ -34,6 +34,9 @@ def tag_tweets(
     return pairs.select(*[f.name for f in TWEET_FIELDS], "symbol")
 
 
+tag_tweets = tweet_pairs  # nothing more is removed: a tweet search has no false-positive test
+
+
 def tweets_to_store(
     responses: DataFrame,
     terms: DataFrame,
@@ -42,4 +45,4 @@ def tweets_to_store(
     list_members: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows for the tweet table, rows missing a required value)."""
-    return split_valid(tag_tweets(flatten_tweets(responses), terms, asof, search, list_members), TWITTER)
+    return split_valid(tweet_pairs(flatten_tweets(responses), terms, asof, search, list_members), TWITTER)

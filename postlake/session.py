@@ -61,8 +61,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def remove_dir(spark: SparkSession, path: str) -> None:
-    """Remove a folder that :func:`shared_dir` named."""
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(conf).delete(folder, True)
+    return folder, folder.getFileSystem(conf)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, store = _folder(spark, path)
+    return store.exists(folder)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own, as :func:`shared_dir` names them."""
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)

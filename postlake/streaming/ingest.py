@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -11,30 +12,38 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlake.functions.times import SLICE_DAYS
 from postlake.operators.table import PostTable
-from postlake.session import shared_dir
 
 
 def append_new(
     rows: DataFrame,
     table: PostTable,
-    checkpoint: str | None = None,
+    checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Write what has arrived into ``table``, each (symbol, id) once, then stop.
 
-    The checkpoint records consumed files; the insert itself ignores stored keys, so a replayed
-    batch adds nothing. Rows of any age are accepted. ``prepare`` runs on each micro-batch, for
+    The checkpoint, in a shared folder, records consumed files and names the stream: a run under the same one goes on
+    where the last stopped. The table remembers the last batch it finished of each stream, so a batch that is delivered
+    again after its insert, but before its commit, is recognised and costs nothing; one that stopped within its insert is
+    inserted again, which ignores stored keys. Rows of any age are accepted. ``prepare`` runs on each micro-batch, for
     steps that measure sizes or read the table.
     """
+    if not checkpoint:
+        raise ValueError("name the stream's checkpoint folder")
     table.create()
+    stream = f"stream.{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         here = PostTable(batch.sparkSession, table.name.rpartition(".")[0], table.network, table.n_buckets)
+        done = here.get_property(stream)
+        if done is not None and number <= int(done):
+            return
         here.insert_ignore(prepare(batch) if prepare else batch)
+        here.set_property(stream, str(number))
 
     return (
         rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint or shared_dir(table.spark, "checkpoint"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

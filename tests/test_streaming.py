@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from postlake.operators.match import observe_false_positives
@@ -38,8 +40,36 @@ def test_pages_arrive_are_stored_once_and_survive_a_replay(spark, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == 1
     # rows far older than anything seen are still taken, ids already stored are not
     assert table.read().count() == 100
-    append_new(rows(), table).awaitTermination()
+    # from the start under another checkpoint
+    append_new(rows(), table, shared_dir(spark, "checkpoint")).awaitTermination()
     assert table.read().count() == 100
+    with pytest.raises(ValueError, match="checkpoint"):
+        append_new(rows(), table, "")
+
+
+def test_a_batch_delivered_again_is_recognised(spark, tmp_path):
+    """The stream stops after a write, before its commit; the replayed batch is not inserted again."""
+    table, checkpoint = PostTable(spark, scratch_database(spark), REDDIT, 4), shared_dir(spark, "checkpoint")
+    prepared = []
+
+    def rows():
+        pages = stream_comment_pages(spark, str(tmp_path), files_per_trigger=1)
+        clean = clean_bodies(derive_comments(flatten_comments(pages), "2024-01-01"))
+        return project_row(clean, REDDIT).withColumn("symbol", F.lit("S"))
+
+    def prepare(batch):
+        prepared.append(batch.count())
+        return batch
+
+    for n, ids in enumerate((range(10), range(5, 15), range(12, 30)), 1):
+        page(tmp_path, f"p{n}", ids)
+        append_new(rows(), table, checkpoint, prepare).awaitTermination()
+    last = max(Path(checkpoint, "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for commit in (last, last.with_name(f".{last.name}.crc")):
+        commit.unlink(missing_ok=True)
+    append_new(rows(), table, checkpoint, prepare).awaitTermination()
+    assert prepared == [10, 10, 18]
+    assert sorted(int(r.id) for r in table.read().select("id").collect()) == list(range(30))
 
 
 def events(spark, tmp_path, times):
