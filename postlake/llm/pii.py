@@ -124,7 +124,9 @@ def _steps(text: Column, kind: Kind) -> Column:
             match.alias("match"),
         ),
     )
-    return F.when(text.rlike(kind.needs), listed).otherwise(F.slice(listed, 1, 0))
+    # an empty list of its own, so that a text without the kind is not split
+    none = F.expr("CAST(array() AS array<struct<gap: int, head: string, tail: string, match: string>>)")
+    return F.when(text.rlike(kind.needs), listed).otherwise(none)
 
 
 def _width(step: Column, kind: Kind) -> Column:
