@@ -9,10 +9,12 @@
 3. Components of these candidate pairs hold every link that the trees recalled. Their texts are fetched once and the
    links confirmed on full shingle sets; the answer is the components of the confirmed links.
 
-Large groups are never compared pair by pair: all members are compared with about ``PIVOTS`` of them. Members linked
-with the pivot that has most links are in one component and need no comparison with each other; the others are compared
-with all members, in blocks (at once if they are few or the trees are ``ROUNDS`` deep, else after branching). No link
-between components is lost and no task gets a whole large group.
+Large groups are never compared pair by pair. All members are compared with a few pivots (``PIVOTS`` in a node,
+``TEXT_PIVOTS`` on full sets), and each member reports one pivot that it is linked with; pivots that a member has in
+common are joined. Members of the component that holds most need no comparison with each other; the others are compared
+with all members, in blocks (at once if they are few or the trees are ``ROUNDS`` deep, else after branching). Rows thus
+grow with the members where pivots join most of a group, and with members times others / ``BLOCK`` where they do not. No
+link between components is lost and no task gets a whole large group.
 
 Recall: a pair at similarity s misses every root branch with probability (1 - s) ** (TREES * BRANCHES), 4e-9 at 0.8,
 and falls below ``CLOSE`` with probability 4e-6; both are below for larger s.
@@ -45,6 +47,7 @@ TREES, BRANCHES = 6, 2
 LEAF = 128
 ROUNDS = 1
 PIVOTS = 6
+TEXT_PIVOTS = 48
 BLOCK = 256  # pivots of a part
 PART = 2048  # members of a part, about
 
@@ -176,72 +179,116 @@ def _in_groups(df: DataFrame, keys: list[str], order: list[str], run, schema: st
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
+_MET = "cluster long, rep long, pivot long, joint boolean, size long"
+
+
 def _parts(pivots: DataFrame, members: DataFrame, run) -> DataFrame:
     """``run`` over pivots and members (cluster, chunk, rep, data, size), each chunk of pivots with every part.
 
     Members of a large cluster are dealt to parts of about ``PART``, to each of which its pivots are copied.
     """
-    parts = F.ceil(F.col("size") / PART).cast("long")
-    given = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    taken = members.withColumn("salt", F.pmod(F.xxhash64("rep"), parts))
+    given = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), _n_parts() - 1)))
+    taken = members.withColumn("salt", _part())
     part = F.xxhash64("cluster", "chunk", "salt").alias("part")
-    rows = given.select(part, F.lit(0).alias("rank"), "rep", "data", "cluster").union(
-        taken.select(part, F.lit(1).alias("rank"), "rep", "data", "cluster")
+    rows = given.select(part, F.lit(0).alias("rank"), "rep", "data", "cluster", "size").union(
+        taken.select(part, F.lit(1).alias("rank"), "rep", "data", "cluster", "size")
     )
-    return _in_groups(rows, ["part"], ["rank", "rep"], run, "a long, b long, cluster long")
+    return _in_groups(rows, ["part"], ["rank", "rep"], run, _MET)
+
+
+def _n_parts():
+    return F.ceil(F.col("size") / PART).cast("long")
+
+
+def _part():
+    """The part of its cluster that a member is dealt to."""
+    return F.pmod(F.xxhash64("rep"), _n_parts())
 
 
-def _linked_with_some(members: DataFrame, run) -> DataFrame:
-    """Links (a, b, cluster) of about ``PIVOTS`` members of each cluster with all its members, themselves included."""
+def _met_pivots(members: DataFrame, run, n_pivots: int) -> DataFrame:
+    """The members that are linked with one of about ``n_pivots`` pivots, with one such, and the pairs of pivots that members
+    have joined (``joint``)."""
     members = members.withColumn("chunk", F.lit(0).cast("long"))
-    return _parts(members.filter(F.pmod(F.xxhash64("cluster", "rep"), F.col("size")) < PIVOTS), members, run)
+    chosen = F.pmod(F.xxhash64("cluster", "rep"), F.col("size")) < n_pivots
+    return staged(_parts(members.filter(chosen), members, run), "met")
 
 
-def _outside(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The clusters' members that ``links`` leave apart from the pivot with most links: all columns, ``out``, ``rest``.
+def _links(met: DataFrame) -> DataFrame:
+    return met.filter("pivot IS NOT NULL").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
 
-    Members linked with one pivot are in one component. Clusters without others are gone; ``rest`` counts the others.
+
+def _join_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each cluster (cluster, pivot, other, n, size): its pivots, the component of each, and how many members these hold."""
+    out = [[], [], [], [], []]
+    for group in groups(batches, 1):
+        cluster, pivot, other, n, size = (group.column(i).to_pylist() for i in range(5))
+        names = sorted({p for p in pivot if p is not None} | {o for o in other if o is not None})
+        at = {p: i for i, p in enumerate(names)}
+        forest = Forest(len(names))
+        for p, o in zip(pivot, other):
+            if o is not None:
+                forest.join(at[p], at[o])
+        held = dict.fromkeys(names, 0)
+        for p, k in zip(pivot, n):
+            if p is not None:
+                held[names[forest.find(at[p])]] += k
+        comps = [names[forest.find(i)] for i in range(len(names))]
+        for column, value in zip(out, (cluster[0], names, comps, [held[c] for c in comps], size[0])):
+            column.append(value)
+    longs = pa.list_(pa.int64())
+    kinds = (pa.int64(), longs, longs, longs, pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], list("abcde"))
+
+
+def _outside(members: DataFrame, met: DataFrame) -> DataFrame:
+    """Members of the clusters that pivots leave in more than one component: all columns, ``out`` for those outside the
+    component of pivots that holds most members, and how many these are (``rest``).
+
+    A cluster is described by one row, copied to the parts of its members, so no key has all members of a large one.
     """
-    most = (
-        links.groupBy("cluster", "a")
-        .agg(F.count("*").alias("n"))
-        .groupBy("cluster")
-        .agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    rows = met.groupBy("cluster", "size", "joint", "pivot", F.when(F.col("joint"), F.col("rep")).alias("other")).agg(
+        F.sum(F.when(F.col("joint"), 0).otherwise(1)).alias("n")
+    )
+    described = _in_groups(
+        rows.select("cluster", "pivot", "other", "n", "size"), ["cluster"], ["pivot", "other"], _join_pivots,
+        "cluster long, pivots array<long>, comps array<long>, held array<long>, size long",
     )
-    joined = links.join(most, ["cluster", "a"]).select("cluster", F.col("b").alias("rep")).distinct()
-    flagged = members.join(joined.withColumn("joined", F.lit(True)), ["cluster", "rep"], "left")
-    flagged = flagged.withColumn("out", F.col("joined").isNull()).drop("joined")
-    rest = flagged.filter("out").groupBy("cluster").agg(F.count("*").alias("rest"))
-    return staged(flagged.join(rest, "cluster"), "outside")
+    held = F.coalesce(F.array_max("held"), F.lit(0))
+    open_ = described.withColumn("rest", F.col("size") - held).filter("rest > 0").select(
+        "cluster",
+        "rest",
+        F.when(F.size("held") > 0, F.element_at("comps", F.array_position("held", held).cast("int"))).alias("most"),
+        F.map_from_arrays("pivots", "comps").alias("comps"),
+        F.explode(F.sequence(F.lit(0).cast("long"), _n_parts() - 1)).alias("salt"),
+    )
+    one = met.filter("NOT joint").select("cluster", "rep", "pivot")
+    found = members.join(one, ["cluster", "rep"], "left").withColumn("salt", _part()).join(open_, ["cluster", "salt"])
+    comp = F.when(F.col("pivot").isNotNull(), F.element_at("comps", F.col("pivot")))
+    out = comp.isNull() | ~comp.eqNullSafe(F.col("most"))
+    return staged(found.select("cluster", "rep", "data", "size", out.alias("out"), "rest"), "outside")
 
 
 def _others_with_all(outside: DataFrame, run) -> DataFrame:
-    """Links of the members left apart, in chunks of about ``BLOCK``, with all members."""
+    """Members left apart, in chunks of about ``BLOCK``, against all members, as :func:`_met_pivots` has them."""
     chunks = F.ceil(F.col("rest") / BLOCK).cast("long")
     pivots = outside.filter("out").withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks))
     members = outside.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     return _parts(pivots, members, run)
 
 
-def _linked(find, pivots: list[int], spanning: bool, links: list[tuple], forest: Forest, rep: int, one, cluster: int) -> None:
-    """Add a member's links to the pivots: all, or to one of each component of pivots, which the member joins up."""
-    found = find(one)
-    for j in found:
-        if not spanning or j == found[0] or forest.join(found[0], j):
-            links.append((pivots[j], rep, cluster))
-
-
-def _against(index_of, values_of, spanning: bool):
-    """A task over parts (part, rank, rep, data, cluster): pivots, of rank 0, are indexed, then members are looked up."""
+def _against(index_of, values_of):
+    """A task over parts (part, rank, rep, data, cluster, size): pivots, of rank 0, are indexed, then members are looked
+    up. A member that is linked with a pivot gives one row, and one for each pair of components of pivots that it joins
+    up; where a cluster has no pivot, each member gives a row without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, pivots, values, find, forest = None, [], [], None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            links: list[tuple] = []
-            parts, ranks, reps, clusters = (batch.column(i).to_pylist() for i in (0, 1, 2, 4))
-            for part, rank, rep, cluster, one in zip(parts, ranks, reps, clusters, values_of(batch.column(3))):
+            met: list[tuple] = []
+            parts, ranks, reps, clusters, sizes = (batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5))
+            for part, rank, rep, cluster, size, one in zip(parts, ranks, reps, clusters, sizes, values_of(batch.column(3))):
                 if part != held:
                     held, pivots, values, find = part, [], [], None
                 if rank == 0:
@@ -250,10 +297,17 @@ def _against(index_of, values_of, spanning: bool):
                     continue
                 if find is None:
                     find, forest = index_of(values), Forest(len(pivots))
-                if pivots:
-                    _linked(find, pivots, spanning, links, forest, rep, one, cluster)
-            columns = [pa.array(c, pa.int64()) for c in zip(*links)] or [pa.array([], pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "cluster"])
+                found = find(one) if pivots else []
+                if found or not pivots:
+                    met.append((cluster, rep, pivots[found[0]] if found else None, False, size))
+                for j in found[1:]:
+                    if forest.join(found[0], j):
+                        met.append((cluster, pivots[j], pivots[found[0]], True, size))
+            columns = list(zip(*met)) or [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], ["cluster", "rep", "pivot", "joint", "size"]
+            )
 
     return run
 
@@ -282,12 +336,12 @@ def candidate_pairs(reps: DataFrame) -> DataFrame:
         found.append(staged(_in_groups(leaves, ["cluster"], ["rep"], _compare_leaves, "a long, b long"), "pairs"))
         if large.isEmpty():
             break
-        links = staged(_linked_with_some(large, _against(_close, _sketches, spanning=False)), "pairs")
-        outside = _outside(large, links)
+        met = _met_pivots(large, _against(_close, _sketches), PIVOTS)
+        outside = _outside(large, met)
         last = depth == ROUNDS
         ready = outside if last else outside.filter(F.col("rest") <= BLOCK)
-        more = staged(_others_with_all(ready, _against(_close, _sketches, spanning=True)), "pairs")
-        found += [links.select("a", "b"), more.select("a", "b")]
+        more = staged(_others_with_all(ready, _against(_close, _sketches)), "pairs")
+        found += [_links(met), _links(more)]
         if last:
             break
         live = staged(_branches(outside.filter(F.col("rest") > BLOCK)), "branches")
@@ -391,9 +445,9 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, size: int) -> DataFram
             index = Inverted(values)
             return lambda one: np.flatnonzero(index.similar(one)).tolist()
 
-        links = staged(_linked_with_some(large, _against(linked, sets, spanning=False)), "links")
-        more = _others_with_all(_outside(large, links), _against(linked, sets, spanning=True))
-        found += [links.select("a", "b"), more.select("a", "b")]
+        met = _met_pivots(large, _against(linked, sets), TEXT_PIVOTS)
+        more = staged(_others_with_all(_outside(large, met), _against(linked, sets)), "links")
+        found += [_links(met), _links(more)]
     return _union(found)
 
 

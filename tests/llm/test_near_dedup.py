@@ -59,6 +59,7 @@ def test_equals_all_pairs_with_large_groups(spark, monkeypatch):
     monkeypatch.setattr(q, "BLOCK", 6)
     monkeypatch.setattr(q, "PART", 8)
     monkeypatch.setattr(q, "PIVOTS", 2)
+    monkeypatch.setattr(q, "TEXT_PIVOTS", 2)
     rng = random.Random(11)
     base = [f"b{i}" for i in range(90)]
     passage = [f"p{i}" for i in range(40)]
@@ -69,6 +70,48 @@ def test_equals_all_pairs_with_large_groups(spark, monkeypatch):
     check(spark, list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("edits_of", [14])
+def test_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch, edits_of):
+    """Links with pivots in nodes and in the confirmation, at n, 2n and 4n near copies of one text."""
+    for name in ("PART", "LEAF", "BLOCK"):
+        monkeypatch.setattr(q, name, 64)
+    rng = random.Random(edits_of)
+    base = [f"b{i}" for i in range(120)]
+    counted = {}
+    real = q.staged
+
+    def count(df, purpose):
+        out = real(df, purpose)
+        counted[purpose] = counted.get(purpose, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(q, "staged", count)
+    for n in (150, 300, 600):
+        counted.clear()
+        texts = [edits(rng, base, rng.randrange(edits_of)) for _ in range(n)]
+        rows = list(enumerate(texts))
+        if n == 150:
+            check(spark, rows)
+        else:
+            q.components(spark.createDataFrame(rows, "doc_id long, text string")).count()
+        roots = q.TREES * q.BRANCHES
+        assert counted["met"] + counted["links"] <= 2 * n * (roots + 1), counted
+
+
+def test_two_large_groups_in_one_cluster(spark, monkeypatch):
+    """Two families, linked only through a chain of texts between them, and one apart that shares a long passage."""
+    for name, value in (("BLOCK", 20), ("LEAF", 20), ("PART", 30), ("TEXT_PIVOTS", 3)):
+        monkeypatch.setattr(q, name, value)
+    rng = random.Random(5)
+    first = [f"a{i}" for i in range(100)]
+    second = first[:60] + [f"c{i}" for i in range(40)]
+    third = first[:70] + [f"d{i}" for i in range(30)]
+    texts = [edits(rng, words, rng.randrange(4)) for words in (first, second, third) for _ in range(60)]
+    texts += [" ".join(first[:k] + second[k:]) for k in range(60, 100, 5)]
+    rng.shuffle(texts)
+    check(spark, list(enumerate(texts)))
+
+
 def test_awkward_rows(spark, awkward_rows):
     check(spark, awkward_rows)
 
