@@ -19,7 +19,8 @@ STAGES = [
     ("mix_sources", mixing.stage),
 ]
 
-#: Trained scores and token selection have no SQL form; tests compare each stage with a brute-force version.
+#: Trained scores and token selection have no SQL form. Tests compare near-dedup, decontamination and personal data with
+#: brute force, and check the columns, sentinel rows and budgets of the others and of the whole.
 ORACLE_SQL = None
 
 
