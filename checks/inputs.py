@@ -15,7 +15,13 @@ from postlake.operators.project import clean_bodies, derive_tweets
 from postlake.operators.sizing import compute_once, spread_scan
 from postlake.plans.comments import comment_symbol_terms
 from postlake.plans.tweets import tweet_symbol_terms
-from postlake.sources.responses import parse_comment_pages, parse_tweet_responses
+from postlake.session import shared_dir
+from postlake.sources.responses import (
+    parse_comment_pages,
+    parse_tweet_responses,
+    read_comment_pages,
+    read_tweet_responses,
+)
 from postlake.sources.symbols import dictionary_words, last_wins, parse_symbol_lines
 
 ASOF = "2024-01-31 00:00:00"
@@ -473,6 +479,26 @@ class Inputs:
     def responses(self) -> DataFrame:
         return parse_tweet_responses(self.response_texts)
 
+    def _captured_files(self, texts: DataFrame, purpose: str) -> str:
+        path = shared_dir(self.spark, purpose)
+        texts.select("value").write.option("compression", "gzip").text(path)
+        return path
+
+    @cached_property
+    def response_files(self) -> DataFrame:
+        """The responses as files of lines: counts as text or with a fraction, flags that are none, lists of no entries."""
+        n = F.get_json_object("value", "$.response_id").cast("bigint")
+        value = F.when(n % 2 == 0, F.regexp_replace("value", '"retweet_count":([0-9]+)', '"retweet_count":"$1"')).otherwise(
+            F.regexp_replace("value", '"retweet_count":([0-9]+)', '"retweet_count":$1.0')
+        )
+        flag = '"possibly_sensitive":(true|false)'
+        value = F.when(n % 5 == 0, F.regexp_replace(value, flag, '"possibly_sensitive":"maybe"')).otherwise(value)
+        empty = '"timeline":{"instructions":[]}}'
+        value = F.when(n % 11 == 0, F.regexp_replace(value, '"timeline":\\{.*$', empty)).otherwise(value)
+        return read_tweet_responses(
+            self.spark, self._captured_files(self.response_texts.select(value.alias("value")), "responses")
+        )
+
     # Comments
 
     @cached_property
@@ -504,6 +530,17 @@ class Inputs:
     def pages(self) -> DataFrame:
         return parse_comment_pages(self.page_texts)
 
+    @cached_property
+    def page_files(self) -> DataFrame:
+        """The pages as files of lines: times as text or with a fraction, scores that are no numbers."""
+        n = F.split_part(F.get_json_object("value", "$.data[0].link_id"), F.lit("_"), F.lit(2)).cast("bigint")
+        time = '"created_utc":([0-9]+)'
+        value = F.when(n % 2 == 0, F.regexp_replace("value", time, '"created_utc":"$1"')).otherwise(
+            F.regexp_replace("value", time, '"created_utc":$1.0')
+        )
+        value = F.when(n % 7 == 0, F.regexp_replace(value, '"score":-?[0-9]+', '"score":"many"')).otherwise(value)
+        return read_comment_pages(self.spark, self._captured_files(self.page_texts.select(value.alias("value")), "pages"))
+
     @cached_property
     def comments(self) -> DataFrame:
         return flatten_comments(self.pages)

@@ -8,8 +8,10 @@ from checks.inputs import ALL_SYMBOLS_SQL, POSTS_SQL, squeeze_sql
 from checks.registry import check
 from postlake.functions.text import normalize_text
 from postlake.operators.flatten import (
+    WRONG_TYPE,
     drop_promoted,
     enrich_retweets,
+    flatten_comments,
     flatten_tweets,
     join_tweets,
     join_users,
@@ -17,7 +19,9 @@ from postlake.operators.flatten import (
     timeline_entries,
     tweet_rejects,
 )
-from postlake.sources.symbols import dictionary_words
+from postlake.session import shared_dir
+from postlake.sources.responses import value_rejects
+from postlake.sources.symbols import dictionary_words, read_dictionary, read_symbols
 
 _RAW = ALL_SYMBOLS_SQL
 
@@ -42,6 +46,31 @@ def dictionary_scan(t):
     return dictionary_words(lines)
 
 
+@check(
+    "symbol_file_scan",
+    f"""WITH {_RAW} SELECT symbol, shortName, '"' || longName || '" or ' || longName AS longName FROM master""",
+)
+def q_symbol_file_scan(t):
+    """The master as files with a header, columns in another order, quotes and separators inside values."""
+    path = shared_dir(t.spark, "master")
+    quoted = F.concat(F.lit('"'), F.col("longName"), F.lit('" or '), F.col("longName")).alias("longName")
+    rows = t.master.select(quoted, F.lit("X|Y").alias("exchange"), "symbol", "shortName")
+    keep = {"sep": "|", "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**keep).csv(path)
+    return read_symbols(t.spark, path).drop("file_pos")
+
+
+@check(
+    "dictionary_file_scan",
+    f"""SELECT DISTINCT lower(w) AS word
+        FROM (SELECT unnest(string_split({squeeze_sql('text')}, ' ')) AS w FROM conversations) WHERE w <> ''""",
+)
+def q_dictionary_file_scan(t):
+    path = shared_dir(t.spark, "words")
+    t.table("conversations").select(F.explode(F.split(normalize_text(F.col("text")), " "))).write.text(path)
+    return read_dictionary(t.spark, path)
+
+
 # What a response of each post holds: entries 0 to 4 show tweets, 5 is promoted, 6 has no id.
 ENTRIES_SQL = f"""{POSTS_SQL},
   offs AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS pos),
@@ -178,3 +207,59 @@ def q_comment_flatten(t):
         "id", "link_id", "parent_id", "nest_level", "controversiality", "body", "created_utc", "score",
         "author", "author_fullname", "author_created_utc",
     )
+
+
+# Files of lines in which values take other forms than the shape states
+
+
+@check(
+    "comment_page_files",
+    f"""WITH {COMMENTS_RAW_SQL}, craw2 AS (SELECT *, CAST(split_part(link_id, '_', 2) AS BIGINT) AS post FROM craw)
+        SELECT id, link_id, CAST(nest_level AS INTEGER) AS nest_level, body, created_utc,
+          CASE WHEN post % 7 > 0 THEN CAST(score AS INTEGER) END AS score, author, author_created_utc FROM craw2""",
+)
+def q_comment_page_files(t):
+    return flatten_comments(t.page_files).select(
+        "id", "link_id", "nest_level", "body", "created_utc", "score", "author", "author_created_utc"
+    )
+
+
+@check(
+    "comment_value_rejects",
+    f"""WITH {COMMENTS_RAW_SQL} SELECT 'data.' || (nest_level - 1) || '.score' AS path, 'many' AS value, count(*) AS n
+        FROM craw WHERE CAST(split_part(link_id, '_', 2) AS BIGINT) % 7 = 0 GROUP BY ALL""",
+)
+def q_comment_value_rejects(t):
+    return value_rejects(t.page_files).groupBy("path", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check(
+    "tweet_response_files",
+    f"""WITH {ENTRIES_SQL} SELECT id AS response_id, pos AS entry_pos, CAST(tid AS BIGINT) AS id, full_text,
+          CAST(n % 50 AS INTEGER) AS retweet_count, CASE WHEN n % 5 > 0 AND kind <> 'error' THEN false END AS possibly_sensitive
+        FROM flat WHERE n % 11 > 0""",
+)
+def q_tweet_response_files(t):
+    return flatten_tweets(t.response_files).select(
+        "response_id", "entry_pos", "id", "full_text", "retweet_count", "possibly_sensitive"
+    )
+
+
+@check(
+    "tweet_file_rejects",
+    f"""WITH {ENTRIES_SQL}
+        SELECT id AS response_id, CAST(pos AS VARCHAR) AS place, 'no_tweet_id' AS reject_reason
+        FROM entries WHERE pos = 6 AND n % 11 > 0
+        UNION ALL SELECT id, CAST(pos AS VARCHAR), 'no_user' FROM shown WHERE pos = 3 AND n % 11 > 0
+        UNION ALL SELECT id, NULL, 'no_entries' FROM posts WHERE n % 11 = 0 AND score > 0
+        UNION ALL SELECT id, 'globalObjects.tweets.' || tid || '.possibly_sensitive', 'value_of_wrong_type' FROM shown
+                  WHERE n % 5 = 0 AND kind <> 'error'""",
+)
+def q_tweet_file_rejects(t):
+    """Entries, responses and single values that cannot be used."""
+    responses = t.response_files
+    whole = tweet_rejects(responses).select("response_id", F.col("entry_pos").cast("string").alias("place"), "reject_reason")
+    values = value_rejects(responses, ("response_id",)).select(
+        "response_id", F.col("path").alias("place"), F.lit(WRONG_TYPE).alias("reject_reason")
+    )
+    return whole.unionByName(values)

@@ -19,6 +19,7 @@ TWEET_ENTRY_PREFIXES = ("sq-I-t-", "tweet-")
 
 NO_TWEET_ID = "no_tweet_id"
 NO_USER = "no_user"
+NO_ENTRIES = "no_entries"
 UNREADABLE = "unreadable_json"
 WRONG_TYPE = "value_of_wrong_type"
 
@@ -79,7 +80,8 @@ def enrich_retweets(tweets: DataFrame) -> DataFrame:
 
 def classified_entries(responses: DataFrame) -> DataFrame:
     """One pass over the responses: every candidate tweet entry with its tweet, author, and
-    ``reject_reason`` where there is one. Unreadable responses give one row each.
+    ``reject_reason`` where there is one. Unreadable responses, and those that hold tweets but no entries, give one row
+    each.
 
     To store tweets and rejects of one reading, persist or write this and split it with
     :func:`accepted_tweets` and :func:`rejected_entries`.
@@ -87,16 +89,25 @@ def classified_entries(responses: DataFrame) -> DataFrame:
     corrupt = F.col(CORRUPT) if CORRUPT in responses.columns else F.lit(None)
     # A malformed record parses to nothing; a value of a wrong type only costs that value.
     unreadable = corrupt.isNotNull() & F.col("timeline").isNull()
-    entries = F.when(F.size("globalObjects.tweets") > 0, F.get("timeline.instructions", F.lit(0))["addEntries"]["entries"])
+    some = F.size("globalObjects.tweets") > 0
+    entries = F.when(some, F.get("timeline.instructions", F.lit(0))["addEntries"]["entries"])
+    no_entries = F.coalesce(some & (F.coalesce(F.size(entries), F.lit(0)) <= 0), F.lit(False))
     rows = responses.select(
-        "response_id", "globalObjects", unreadable.alias("unreadable"), F.posexplode_outer(entries).alias("entry_pos", "entry")
+        "response_id",
+        "globalObjects",
+        unreadable.alias("unreadable"),
+        no_entries.alias("no_entries"),
+        F.posexplode_outer(entries).alias("entry_pos", "entry"),
+    )
+    rows = resolve_tweet_ids(
+        rows.where(F.col("unreadable") | F.col("no_entries") | _is_tweet_entry(F.col("entry.entryId")))
     )
-    rows = resolve_tweet_ids(rows.where(F.col("unreadable") | _is_tweet_entry(F.col("entry.entryId"))))
     rows = drop_promoted(rows)
     tweet = F.try_element_at(F.col("globalObjects.tweets"), F.col("tweet_id"))
     rows = join_users(compute_once(rows, "tweet", tweet))
     reason = (
         F.when(F.col("unreadable"), F.lit(UNREADABLE))
+        .when(F.col("no_entries"), F.lit(NO_ENTRIES))
         .when(F.col("tweet_id").isNull(), F.lit(NO_TWEET_ID))
         .when(F.col("tweet").isNotNull() & F.col("user_data").isNull(), F.lit(NO_USER))
     )

@@ -108,8 +108,5 @@ data array<struct<
   subreddit_id: string, author: string, author_fullname: string, author_created_utc: bigint>>
 """
 CORRUPT = "_corrupt_record"
-
-
-# Reader schemas, which also keep the text of records that are not JSON.
-TWEET_RESPONSE_SCHEMA = f"{TWEET_RESPONSE_DDL}, {CORRUPT} string"
-COMMENT_PAGE_SCHEMA = f"{COMMENT_PAGE_DDL}, {CORRUPT} string"
+# Values of another type than stated above, as (path, value).
+WRONG_VALUES = "_wrong_values"

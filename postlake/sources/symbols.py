@@ -34,7 +34,7 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_symbol_lines(lines: DataFrame, line: str = "value", file_pos: str = "file_pos") -> DataFrame:
     """Same as :func:`read_symbols` for master lines already held in a column."""
-    row = F.from_csv(F.col(line), SYMBOL_SCHEMA, {"sep": "|"})
+    row = F.from_csv(F.col(line), SYMBOL_SCHEMA, {"sep": "|", "escape": '"'})
     return lines.select(row.alias("r"), F.col(file_pos).alias("file_pos")).select(
         F.trim("r.symbol").alias("symbol"), "r.shortName", "r.longName", "file_pos"
     )

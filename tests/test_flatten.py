@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from postlake.operators.flatten import flatten_tweets, timeline_entries, tweet_rejects
 from postlake.operators.project import derive_tweets, project_row, require_valid, split_valid
 from postlake.schemas import TWEET_FIELDS, TWITTER, stored_fields
-from postlake.sources.responses import read_tweet_responses
+from postlake.sources.responses import read_tweet_responses, value_rejects
 
 TIME = "Mon Jan 01 00:00:07 +0000 2024"
 
@@ -86,6 +86,25 @@ def test_unreadable_responses(spark, tmp_path):
     assert tweet_rejects(responses).count() == 1
 
 
+def test_values_of_other_types_and_responses_without_entries(spark, tmp_path):
+    odd = tweet("1", favorite_count="12", quote_count=3.0, possibly_sensitive="maybe", entities={"hashtags": [
+        {"text": "x", "indices": [1, "end"]}]})
+    responses = read(spark, tmp_path, [shown("1"), shown("2")], {"1": odd, "2": tweet("2")})
+    got = {r.id: (r.favorite_count, r.quote_count, r.possibly_sensitive) for r in flatten_tweets(responses).collect()}
+    assert got == {1: (12, 3, None), 2: (1, 0, None)}
+    assert sorted(map(tuple, value_rejects(responses, ("response_id",)).collect())) == [
+        ("r", "globalObjects.tweets.1.entities.hashtags.0.indices.1", "end"),
+        ("r", "globalObjects.tweets.1.possibly_sensitive", "maybe"),
+    ]
+    assert tweet_rejects(responses).count() == 0
+    empty = {"response_id": "e", "globalObjects": {"tweets": {"1": tweet("1")}}, "timeline": {"instructions": []}}
+    (tmp_path / "e.json").write_text(json.dumps(empty) + "\n")
+    responses = read_tweet_responses(spark, str(tmp_path))
+    assert [(r.response_id, r.reject_reason) for r in tweet_rejects(responses).collect()] == [("e", "no_entries")]
+    with pytest.raises(Exception, match="unusable entry: no_entries"):
+        flatten_tweets(responses, strict=True).collect()
+
+
 def test_stored_row(spark, tmp_path):
     flat = flatten_tweets(read(spark, tmp_path, [shown("1"), shown("2")], {"1": tweet("1"), "2": tweet("2", full_text="z", user_id="77", quote_count=None)}))
     rows = project_row(derive_tweets(flat, "2024-02-01"), TWITTER)
