@@ -24,55 +24,66 @@ def text_leaves(kind: DataType) -> DataType:
     return StringType()
 
 
-def typed_leaf(text: Column, kind: DataType) -> Column:
-    """A text as ``kind``, NULL where it is none.
+def typed(value: str, kind: DataType) -> Column:
+    """The column ``value``, of the shape :func:`text_leaves`, in its wanted types; what has another type is NULL.
 
     Whole numbers may be written with a fraction or an exponent, and are cut towards zero as by a cast. Booleans are what a
     cast takes for one.
     """
+    return F.expr(_typed(value, kind, 0))
+
+
+def wrong_values(value: str, kind: DataType) -> Column:
+    """(path, value) of every leaf that :func:`typed` cannot keep. Steps of a path are joined by dots; elements of an array
+    are numbered from 0."""
+    return F.expr(f"coalesce({_wrong(value, kind, [], 0)}, {_NONE})")
+
+
+# One SQL text for each, since a shape of some sixty leaves is slow to put together column by column.
+
+_NONE = f"cast(array() AS {WRONG_VALUES_TYPE})"
+
+
+def _leaf(text: str, kind: DataType) -> str:
     if isinstance(kind, StringType):
         return text
-    plain = text.try_cast(kind)
+    name = kind.simpleString()
+    plain = f"try_cast({text} AS {name})"
     if isinstance(kind, IntegralType):
-        return F.coalesce(plain, text.try_cast("decimal(38,9)").try_cast(kind))
+        return f"coalesce({plain}, try_cast(try_cast({text} AS decimal(38,9)) AS {name}))"
     return plain
 
 
-def typed(value: Column, kind: DataType) -> Column:
-    """A value of :func:`text_leaves` in its wanted types; what has another type is NULL."""
+def _typed(value: str, kind: DataType, depth: int) -> str:
+    v = f"v{depth}"
     if isinstance(kind, StructType):
-        fields = [typed(value[f.name], f.dataType).alias(f.name) for f in kind]
-        return F.when(value.isNotNull(), F.struct(*fields))
+        fields = ", ".join(f"'{f.name}', {_typed(f'{value}.`{f.name}`', f.dataType, depth)}" for f in kind)
+        return f"CASE WHEN {value} IS NOT NULL THEN named_struct({fields}) END"
     if isinstance(kind, ArrayType):
-        return F.transform(value, lambda v: typed(v, kind.elementType))
+        return f"transform({value}, {v} -> {_typed(v, kind.elementType, depth + 1)})"
     if isinstance(kind, MapType):
-        return F.transform_values(value, lambda _, v: typed(v, kind.valueType))
-    return typed_leaf(value, kind)
-
-
-def wrong_values(value: Column, kind: DataType, path: Column | None = None) -> Column:
-    """(path, value) of every leaf that :func:`typed` cannot keep. Steps of a path are joined by dots; elements of an array
-    are numbered from 0."""
+        return f"transform_values({value}, (k{depth}, {v}) -> {_typed(v, kind.valueType, depth + 1)})"
+    return _leaf(value, kind)
 
-    def step(name: Column) -> Column:
-        return name if path is None else F.concat(path, F.lit("."), name)
 
-    none = F.array().cast(WRONG_VALUES_TYPE)
+def _wrong(value: str, kind: DataType, path: list[str], depth: int) -> str:
+    """The list for ``value``, NULL where that is NULL."""
+    v = f"v{depth}"
     if isinstance(kind, StructType):
-        parts = [wrong_values(value[f.name], f.dataType, step(F.lit(f.name))) for f in kind if _can_fail(f.dataType)]
-        return F.concat(*parts) if parts else none
+        lists = [
+            f"coalesce({_wrong(f'{value}.`{f.name}`', f.dataType, [*path, repr(f.name)], depth)}, {_NONE})"
+            for f in kind
+            if _can_fail(f.dataType)
+        ]
+        return f"concat({', '.join([_NONE, *lists])})"
     if isinstance(kind, ArrayType):
-        found = F.flatten(
-            F.transform(value, lambda v, i: wrong_values(v, kind.elementType, step(i.cast("string"))))
-        )
-        return F.coalesce(found, none)
+        each = _wrong(v, kind.elementType, [*path, f"cast(i{depth} AS string)"], depth + 1)
+        return f"flatten(transform({value}, ({v}, i{depth}) -> coalesce({each}, {_NONE})))"
     if isinstance(kind, MapType):
-        found = F.flatten(
-            F.transform(F.map_entries(value), lambda e: wrong_values(e["value"], kind.valueType, step(e["key"])))
-        )
-        return F.coalesce(found, none)
-    lost = value.isNotNull() & typed_leaf(value, kind).isNull()
-    return F.when(lost, F.array(F.struct(path.alias("path"), value.alias("value")))).otherwise(none)
+        each = _wrong(f"{v}.value", kind.valueType, [*path, f"{v}.key"], depth + 1)
+        return f"flatten(transform(map_entries({value}), {v} -> coalesce({each}, {_NONE})))"
+    lost = f"named_struct('path', concat_ws('.', {', '.join(path)}), 'value', {value})"
+    return f"CASE WHEN {value} IS NOT NULL AND {_leaf(value, kind)} IS NULL THEN array({lost}) END"
 
 
 def _can_fail(kind: DataType) -> bool:

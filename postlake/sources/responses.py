@@ -71,9 +71,9 @@ def _recovered(records: DataFrame, shape: StructType) -> DataFrame:
     rows = compute_once(records, "_texts", F.when(flagged, again))
     texts = F.col("_texts")
     is_json = texts.isNotNull() & texts[CORRUPT].isNull()
-    rows = compute_once(rows, WRONG_VALUES, F.when(is_json, wrong_values(texts, shape)))
+    rows = compute_once(rows, WRONG_VALUES, F.when(is_json, wrong_values("_texts", shape)))
     values = [
-        F.when(is_json, typed(texts[f.name], f.dataType)).otherwise(F.col(f.name)).alias(f.name) for f in shape
+        F.when(is_json, typed(f"_texts.`{f.name}`", f.dataType)).otherwise(F.col(f.name)).alias(f.name) for f in shape
     ]
     corrupt = F.when(~is_json | (F.size(WRONG_VALUES) > 0), F.col(CORRUPT)).alias(CORRUPT)
     return rows.select(*values, corrupt, WRONG_VALUES)
