@@ -1,7 +1,8 @@
 """Which post speaks of which symbol.
 
-Every post is compared with every symbol's terms through one equality join on an anchor word, so no
-pair of post and symbol is formed unless the post holds a word of one of the symbol's terms.
+Every post is compared with every symbol's terms through one equality join on an anchor: the word of a one-word phrase,
+two neighbouring words of a longer one. No pair of post and symbol is formed unless the post holds an anchor of one of
+the symbol's terms, and common words alone make no candidates of longer phrases.
 """
 
 from __future__ import annotations
@@ -28,28 +29,31 @@ def term_document_counts(posts: DataFrame, terms: DataFrame, text: str = "body",
         .distinct()
     )
     wanted, _ = broadcast_if_small(wanted)
-    tokens = posts.select(F.explode(_tokens(padded_tokens(F.col(text), cashtags))).alias("token"))
+    tokens = posts.select(F.explode(F.array_distinct(_words(padded_tokens(F.col(text), cashtags)))).alias("token"))
     return tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n_posts"))
 
 
 def prepare_terms(terms: DataFrame, cashtags: bool = False, document_counts: DataFrame | None = None) -> DataFrame:
     """Terms ready for joining: phrase, anchor word, and the symbol's earlier phrases.
 
-    The anchor is the phrase's rarest word by ``document_counts``, else the word that fewest phrases
-    share, the longer one of two. The earlier phrases let a match be reported once per post and
+    The anchor is the phrase's only word, else a pair of neighbouring words: the one with the rarest word by
+    ``document_counts``, else the one that fewest phrases share, the longer one of two. The earlier phrases let a match be reported once per post and
     symbol, at the first of the symbol's terms that holds, with no ``distinct`` over the posts
     afterwards. The terms are computed once, however many steps here read them.
     """
     terms = stored(terms, "terms")
     carried = [c for c in terms.columns if c not in ("symbol", "term_no", "term", "needs_context")]
     phrases = terms.withColumn("phrase", token_string(F.col("term"), cashtags)).where(F.col("phrase") != "")
-    words = phrases.select("phrase").distinct().select("phrase", F.explode(F.split("phrase", " ")).alias("token"))
+    anchors = _phrase_anchors(phrases.select("phrase").distinct())
     if document_counts is None:
-        shared = words.groupBy("token").agg(F.count(F.lit(1)).alias("n_posts"))
+        weighed = anchors.join(anchors.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
     else:
-        shared = document_counts.select("token", "n_posts")
-    order = F.struct(F.coalesce("n_posts", F.lit(0)), -F.length("token"), "token")
-    rarest = words.join(shared, "token", "left").groupBy("phrase").agg(F.min_by("token", order).alias("anchor"))
+        counts = document_counts.select(F.col("token").alias("_word"), F.col("n_posts").alias("_n"))
+        words = anchors.select("phrase", "token", F.explode(F.split("token", " ")).alias("_word"))
+        rarest_word = F.min(F.coalesce("_n", F.lit(0)))
+        weighed = words.join(counts, "_word", "left").groupBy("phrase", "token").agg(rarest_word.alias("n"))
+    order = F.struct("n", -F.length("token"), "token")
+    rarest = weighed.groupBy("phrase").agg(F.min_by("token", order).alias("anchor"))
     anchored = phrases.join(rarest, "phrase")
 
     columns = ["term_no", "phrase", "needs_context", "anchor", *carried]
@@ -67,14 +71,33 @@ def prepare_terms(terms: DataFrame, cashtags: bool = False, document_counts: Dat
     )
 
 
-def _tokens(padded: Column) -> Column:
-    return F.array_distinct(F.split(F.trim(padded), " "))
+def _words(padded: Column) -> Column:
+    return F.split(F.trim(padded), " ")
+
+
+def _pairs(padded: Column) -> Column:
+    """Neighbouring words, joined by a space, so that no pair equals a word. A look-ahead finds overlapping ones; lambdas
+    over the words would leave generated code."""
+    return F.regexp_extract_all(padded, F.lit(r"(?<= )(?=(\S+ \S+) )"), F.lit(1))
+
+
+def _phrase_anchors(phrases: DataFrame) -> DataFrame:
+    """(phrase, token): what each phrase may be anchored at."""
+    padded = F.concat(F.lit(" "), F.col("phrase"), F.lit(" "))
+    anchors = F.when(F.contains(F.col("phrase"), F.lit(" ")), _pairs(padded)).otherwise(F.array("phrase"))
+    return phrases.select("phrase", F.explode(F.array_distinct(anchors)).alias("token"))
+
+
+def _post_anchors(padded: DataFrame, name: str) -> DataFrame:
+    """Each row once under each distinct word and pair of neighbouring words of its text."""
+    both = F.concat(_words(F.col(PADDED)), _pairs(F.col(PADDED)))
+    return padded.select("*", F.explode(F.array_distinct(both)).alias(name))
 
 
 def _verified(pairs: DataFrame, context_words: tuple[str, ...], has_anchor: bool) -> DataFrame:
     """Pairs whose phrase holds, in context if it needs one, and no earlier term of the symbol holds.
 
-    ``has_anchor``: the anchor is known to be in this very text, which settles one-word phrases. Earlier terms are looked
+    ``has_anchor``: the anchor is known to be in this very text, which settles phrases of one or two words. Earlier terms are looked
     up only for pairs that hold, and after the join, which stays in generated code so.
     """
     padded = F.col(PADDED)
@@ -113,21 +136,21 @@ def match_symbols(
     out = [*posts.columns, *[c for c in ready.columns if c not in ("needs_context", "anchor") and c[0] != "_"]]
     if not small:
         return _match_by_shuffle(padded, ready, id_cols, context_words).select(*out)
-    words = padded.select("*", F.explode(_tokens(F.col(PADDED))).alias("anchor"))
+    words = _post_anchors(padded, "anchor")
     return _verified(words.join(ready, "anchor"), context_words, has_anchor=True).select(*out)
 
 
 def _match_by_shuffle(
     padded: DataFrame, ready: DataFrame, id_cols: tuple[str, ...], context_words: tuple[str, ...]
 ) -> DataFrame:
-    """Only (post id, word) pairs are shuffled, salted since common words are hot; the texts join
+    """Only (post id, anchor) pairs are shuffled, salted since common words are hot; the texts join
     the few candidates afterwards. Copies of one id share their candidates, and each is verified by its
     own text; where such copies are many, adaptive execution splits their side of that join. Posts without
     an id are told apart by their text, so that they are not one key."""
     ids = [*id_cols, "_of_text"]
     unnamed = any_of([F.col(i).isNull() for i in id_cols])
     padded = padded.withColumn("_of_text", F.when(unnamed, F.xxhash64(PADDED)))
-    keys = padded.select(*ids, F.explode(_tokens(F.col(PADDED))).alias("anchor"))
+    keys = _post_anchors(padded, "anchor").select(*ids, "anchor")
     keys = keys.join(ready.select("anchor").distinct(), "anchor", "left_semi").withColumn(
         "_salt", F.pmod(F.xxhash64(*ids), F.lit(FALLBACK_SALTS)).cast("int")
     )

@@ -6,11 +6,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from postlake.functions.text import padded_tokens
 from postlake.operators.match import (
+    PADDED,
+    _post_anchors,
     drop_false_positives,
     false_positive_counts,
     is_true_match_in,
     match_symbols,
+    prepare_terms,
     term_document_counts,
 )
 
@@ -137,3 +141,23 @@ def test_null_keys_are_matched_alike_on_both_paths(spark):
     for rows in (1000, 0):
         got = match_symbols(posts, terms, max_rows=rows).select("id", "body", "symbol").collect()
         assert sorted(map(tuple, got), key=repr) == want
+
+
+def test_common_words_of_longer_phrases_make_no_candidates(spark, plan_of):
+    """A phrase of two words meets only posts that hold both side by side."""
+    terms = spark.createDataFrame(
+        [("S", 1, "the of", False), ("T", 1, "of the in", False), ("U", 1, "of", False)],
+        "symbol string, term_no int, term string, needs_context boolean",
+    )
+    ready = prepare_terms(terms)
+    assert {r.phrase: r.anchor for r in ready.collect()} == {"the of": "the of", "of the in": "of the", "of": "of"}
+    texts = ["of in the"] * 200 + ["the of", "x of the in y", "of the", "of the of the in", "", "of"]
+    posts = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, body string")
+    counts = spark.createDataFrame([("of", 5), ("the", 9), ("in", 1)], "token string, n_posts long")
+    by_rare_word = {r.phrase: r.anchor for r in prepare_terms(terms, document_counts=counts).collect()}
+    assert by_rare_word == {"the of": "the of", "of the in": "the in", "of": "of"}
+    for rows in (1000, 0):
+        got = {(r.id, r.symbol) for r in match_symbols(posts, terms, max_rows=rows).where("symbol <> 'U'").collect()}
+        assert got == {("200", "S"), ("203", "S"), ("201", "T"), ("203", "T")}
+    anchors = _post_anchors(posts.select(padded_tokens(F.col("body")).alias(PADDED)), "anchor")
+    assert anchors.join(ready.where("symbol <> 'U'"), "anchor").count() == 5
