@@ -95,9 +95,13 @@ def null_reasons(network: str, also: tuple[str, ...] = ()) -> Column:
 
 
 def split_valid(rows: DataFrame, network: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with ``reject_reason``): parquet does not enforce NOT NULL."""
-    reason = null_reasons(network)
-    return rows.where(reason == ""), rows.withColumn("reject_reason", reason).where(F.col("reject_reason") != "")
+    """(valid rows, rejected rows with ``reject_reason``): parquet does not enforce NOT NULL.
+
+    The reason is a column of its own before it is filtered on. As a condition over all required columns it would be
+    restated by the optimizer for every subset of the names they have further down.
+    """
+    told = compute_once(rows, "reject_reason", null_reasons(network))
+    return told.where("reject_reason = ''").drop("reject_reason"), told.where("reject_reason != ''")
 
 
 def require_valid(rows: DataFrame, network: str) -> DataFrame:
