@@ -6,8 +6,8 @@ if a source would then be repeated more than ``max_epochs`` times, it is moved t
 ``SECTION`` exponents in one aggregate over the table of sources, so only sums reach the driver.
 
 Weights become rows within a budget of tokens: a source's quota is so many whole epochs of its documents and a rest.
-For the rest the source's documents lie in blocks of about ``BLOCK_TOKENS``, permuted by a hash; whole blocks are taken
-while they fit, and of the block at the edge the documents, in the order of a hash, while they fit. Running sums thus
+For the rest the source's documents lie in blocks of about ``BLOCK_TOKENS``, and of about ``BLOCK_ROWS`` where texts are
+empty or short, permuted by a hash; whole blocks are taken while they fit, and of the block at the edge the documents, in the order of a hash, while they fit. Running sums thus
 cover the blocks of a source or the documents of one block, never all documents of a source. A word between white
 space counts as a token.
 
@@ -29,6 +29,7 @@ from postlake.llm.tables import staged, table
 TARGET_ENTROPY = 0.95
 MAX_EPOCHS = 4.0
 BLOCK_TOKENS = 2_000_000
+BLOCK_ROWS = 20_000
 SECTION = 16
 ROUNDS = 7
 LARGEST_EXPONENT = 4.0
@@ -44,8 +45,8 @@ def source_key(source: Column) -> Column:
 
 
 def source_totals(rows: DataFrame) -> DataFrame:
-    """(key, total) of rows (key, tokens)."""
-    return rows.groupBy("key").agg(F.sum("tokens").alias("total"))
+    """(key, total, n_rows) of rows (key, tokens)."""
+    return rows.groupBy("key").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def _measured(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
@@ -102,7 +103,7 @@ def exponent(totals: DataFrame, budget: float | None, target_entropy: float, max
 
 
 def weights(totals: DataFrame, budget: float | None = None, target_entropy: float = TARGET_ENTROPY, max_epochs: float = MAX_EPOCHS) -> DataFrame:
-    """(key, total, weight, quota, epochs, rest, blocks) of each source."""
+    """``totals`` (key, total, ...) with the weight, quota, epochs and rest of each source."""
     power, norm, everything = exponent(totals, budget, target_entropy, max_epochs)
     amount = everything if budget is None else float(budget)
     some = F.col("total") > 0
@@ -110,15 +111,14 @@ def weights(totals: DataFrame, budget: float | None = None, target_entropy: floa
     out = totals.withColumn("weight", F.when(some, F.pow(share, F.lit(power)) / norm).otherwise(F.lit(0.0)))
     out = out.withColumn("quota", F.floor(F.col("weight") * amount + 1e-6))
     out = out.withColumn("epochs", F.when(some, F.floor(F.col("quota") / F.col("total"))).otherwise(F.lit(0)))
-    return out.withColumn("rest", F.col("quota") - F.col("epochs") * F.col("total")).withColumn(
-        "blocks", F.greatest(F.ceil(F.col("total") / BLOCK_TOKENS), F.lit(1))
-    )
+    return out.withColumn("rest", F.col("quota") - F.col("epochs") * F.col("total"))
 
 
 def copies(rows: DataFrame, seed: int = 0, **target) -> DataFrame:
     """``rows`` (key, tokens, order and others) with weight, epochs and copies."""
     totals = staged(source_totals(rows), "totals")
-    plan = staged(weights(totals, **target), "weights")
+    blocks = F.greatest(F.ceil(F.col("total") / BLOCK_TOKENS), F.ceil(F.col("n_rows") / BLOCK_ROWS))
+    plan = staged(weights(totals, **target).withColumn("blocks", blocks), "weights")
     blocked = rows.join(plan.select("key", "blocks"), "key").withColumn(
         "block", F.pmod(F.xxhash64("order", F.lit(seed)), F.col("blocks"))
     )

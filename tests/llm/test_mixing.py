@@ -1,6 +1,9 @@
 import math
+import random
+import struct
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from postlake.llm import mixing as q
@@ -52,6 +55,87 @@ def test_repetition_limit_wins_above_one(spark):
     assert q.exponent(totals, 5 * 1_004_000, q.TARGET_ENTROPY, q.MAX_EPOCHS)[0] == 1.0
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of longs, ints ("i", value) and strings, as signed."""
+    seed = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[1]) if isinstance(v, tuple) else struct.pack("<q", v)
+        seed = xxhash.xxh64(raw, seed=seed).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_weights(totals, target, max_epochs):
+    """Weights by halving the exponent's interval, one source after the other."""
+    everything = sum(totals.values())
+    shares = {k: t / everything for k, t in totals.items() if t}
+
+    def at(a):
+        z = sum(s**a for s in shares.values())
+        return {k: s**a / z for k, s in shares.items()}
+
+    def halve(holds, low, high):
+        for _ in range(100):
+            mid = (low + high) / 2
+            low, high = (mid, high) if holds(at(mid)) else (low, mid)
+        return low
+
+    def most(w):
+        return max(w[k] / shares[k] for k in shares)
+
+    found = halve(lambda w: -sum(x * math.log(x) for x in w.values()) >= target * math.log(len(shares)), 0.0, q.LARGEST_EXPONENT)
+    if most(at(found)) > max_epochs:
+        found = halve(lambda w: most(w) > max_epochs, found, 1.0) if found < 1 else halve(lambda w: most(w) <= max_epochs, 1.0, found)
+    return at(found)
+
+
+def plain_copies(data, weight, block_tokens, block_rows, seed=0):
+    """(copies, position) of each row (key, order, tokens), laid out one document after the other."""
+    everything, out = sum(r[2] for r in data), {}
+    for key in {r[0] for r in data}:
+        mine = [r for r in data if r[0] == key]
+        total = sum(r[2] for r in mine)
+        quota = math.floor(weight[key] * everything + 1e-6)
+        epochs = quota // total if total else 0
+        rest = quota - epochs * total
+        n = max(-(-total // block_tokens), -(-len(mine) // block_rows))
+        blocks = {}
+        for r in mine:
+            blocks.setdefault(spark_hash(r[1], ("i", seed)) % n, []).append(r)
+        taken = 0
+        for b in sorted(blocks, key=lambda b: (spark_hash(key, b, ("i", seed)), b)):
+            so_far = 0
+            for r in sorted(blocks[b], key=lambda r: (spark_hash(r[1], ("i", seed + 1)), r[1])):
+                so_far += r[2]
+                room = rest - taken
+                out[r[1]] = (epochs + (room > 0 and so_far <= room), taken + so_far - r[2])
+            taken += so_far
+    return out
+
+
+@pytest.mark.parametrize("block_tokens,block_rows,max_epochs", [(200, 1_000, 4.0), (1_000_000, 7, 1.5), (300, 11, 2.5)])
+def test_equals_brute_force(spark, monkeypatch, block_tokens, block_rows, max_epochs):
+    monkeypatch.setattr(q, "BLOCK_TOKENS", block_tokens)
+    monkeypatch.setattr(q, "BLOCK_ROWS", block_rows)
+    rng = random.Random(block_rows)
+    sizes = {"a": 300, "b": 60, "c": 25, "d": 8, "empty": 90}
+    keys = [k for k, n in sizes.items() for _ in range(n)]
+    data = [(k, i, 0 if k == "empty" or i % 17 == 0 else rng.randrange(1, 40)) for i, k in enumerate(keys)]
+    got = q.copies(spark.createDataFrame(data, "key string, order long, tokens long"), max_epochs=max_epochs).collect()
+    weight = {r.key: r.weight for r in got}
+    totals = {k: sum(r[2] for r in data if r[0] == k) for k in sizes}
+    assert weight == pytest.approx({**plain_weights(totals, q.TARGET_ENTROPY, max_epochs), "empty": 0.0}, rel=1e-5)
+    assert {r.order: (r.copies, r.position) for r in got} == plain_copies(data, weight, block_tokens, block_rows)
+
+
+def test_a_source_of_empty_texts_is_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(q, "BLOCK_ROWS", 50)
+    data = [("none", i, 0) for i in range(1_000)] + [("some", 1_000 + i, 5) for i in range(10)]
+    out = q.copies(spark.createDataFrame(data, "key string, order long, tokens long"))
+    made = out.filter("key = 'none'").groupBy("block").count().collect()
+    assert len(made) == 20 and max(r["count"] for r in made) < 100
+    assert out.filter("key = 'none'").agg(F.max("copies")).first()[0] == 0
+
+
 @pytest.mark.parametrize("sizes", [{"a": 7}, {"a": 5, "b": 5}])
 def test_equal_shares_stay_as_they_are(spark, sizes):
     assert {r.copies for r in q.copies(rows(spark, sizes)).collect()} == {1}
