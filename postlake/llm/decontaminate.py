@@ -29,7 +29,7 @@ from postlake.llm.words import ALPHANUMERIC, Words, mix, words_of
 WINDOW = 13
 PART_BYTES = 4 << 20
 MIN_HIT_SHARE = 20  # one word in so many
-_TABLE_BITS = 16
+_TABLE_BITS = (16, 22)  # the least and the most; a table in use has some eight slots to a block
 
 FIELDS = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -41,7 +41,9 @@ class LengthTables:
         self.length = length
         self.block = min(2, length)
         self.stride = length - self.block + 1
-        self.shift = np.full(1 << _TABLE_BITS, self.stride, np.uint8)
+        wanted = (8 * len(at) * min(self.stride, 2)).bit_length()
+        self.bits = np.uint64(64 - min(max(wanted, _TABLE_BITS[0]), _TABLE_BITS[1]))
+        self.shift = np.full(1 << (64 - int(self.bits)), self.stride, np.uint8)
         for j in range(self.stride):
             slot = self._slots(self.blocks(words.hashes, at + j))
             np.minimum.at(self.shift, slot, self.stride - 1 - j)
@@ -54,9 +56,8 @@ class LengthTables:
             return hashes[at]
         return mix(hashes[at] * np.uint64(0xD6E8FEB86659FD93) + hashes[at + 1] * np.uint64(0xA0761D6478BD642F))
 
-    @staticmethod
-    def _slots(blocks: np.ndarray) -> np.ndarray:
-        return blocks >> np.uint64(64 - _TABLE_BITS)
+    def _slots(self, blocks: np.ndarray) -> np.ndarray:
+        return blocks >> self.bits
 
     def possible(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places whose last block ends some pattern: start word, and the range of patterns in that bucket."""

@@ -45,6 +45,14 @@ def test_equals_brute_force(spark, part_bytes):
         assert (r._n_words, r.n_hit, len(r._items), digest, r.bad) == brute(r.text, items)
 
 
+def test_tables_grow_with_their_blocks():
+    """Most slots of a table stay free of patterns, so most blocks of a text without passages are skipped."""
+    rng = random.Random(1)
+    item = " ".join(f"w{rng.randrange(50_000)}" for _ in range(40_000))
+    (tables,) = q.Patterns(["1"], [item]).tables
+    assert (tables.shift < tables.stride).mean() < 0.2
+
+
 def test_query_stage_and_empty_tables(spark, small_dir, empty_dir, awkward, awkward_rows):
     items = [tuple(r) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()]
     text = dict(awkward_rows)
