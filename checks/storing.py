@@ -208,6 +208,40 @@ def q_delete_recent_count(t):
     )
 
 
+# What is left of two inserts, a delete of recent rows and one of a symbol.
+_LEFT = f"""{PAIRS_SQL},
+  kept AS (SELECT * FROM pairs WHERE ts <= TIMESTAMP '{ASOF}' - INTERVAL {HOURS} HOUR AND symbol <> 'THAT')"""
+
+
+def changed_table(t) -> PostTable:
+    table = new_table(t)
+    rows = t.stored_comments(t.pairs)
+    table.insert_ignore(before_cutoff(rows))
+    table.insert_ignore(rows)
+    table.delete_recent(ASOF, HOURS)
+    table.drop_symbol("THAT")
+    return table
+
+
+@check(
+    "table_newest",
+    f"WITH {_LEFT} {_FIRST.format(key='ts', way='DESC').replace('FROM pairs', 'FROM kept')}",
+)
+def q_table_newest(t):
+    return _first_columns(changed_table(t).newest())
+
+
+@check(
+    "table_summary",
+    f"""WITH {_LEFT} SELECT symbol, count(*) AS n_rows, min(ts) AS oldest_datetime, arg_min(id, (ts, id)) AS oldest_id,
+          max(ts) AS newest_datetime, arg_max(id, (ts, id)) AS newest_id FROM kept GROUP BY symbol""",
+)
+def q_table_summary(t):
+    rows = changed_table(t).summary()
+    ends = [F.col(end)[part].alias(f"{end}_{part}") for end in ("oldest", "newest") for part in ("datetime", "id")]
+    return ntz(rows.select("symbol", "n_rows", *ends), "oldest_datetime", "newest_datetime")
+
+
 @check("drop_symbol", f"WITH {PAIRS_SQL} SELECT symbol, id, score FROM pairs WHERE symbol <> 'THAT'")
 def q_drop_symbol(t):
     table = filled_table(t)

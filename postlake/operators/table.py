@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from postlake.functions.times import as_ts
 from postlake.operators.project import require_valid
 from postlake.operators.sizing import broadcast_if_small
-from postlake.operators.stats import get_first, size_by_symbol
+from postlake.operators.stats import get_first
 from postlake.schemas import stored_fields
 from postlake.session import remove_dir, shared_dir
 
 PARTITION = ("symbol_bucket", "month")
+SUMMARY = (
+    "symbol string, n_rows bigint, oldest struct<datetime: timestamp, id: string>, newest struct<datetime: timestamp, id: string>"
+)
 DEFAULT_BUCKETS = 64
 
 
@@ -83,9 +86,9 @@ class PostTable:
             raise ValueError(f"{self.name} was created with {made} buckets, not {self.n_buckets}")
 
     def drop(self) -> None:
-        """Drop the table with its key index and the folders that deletes moved partitions to."""
+        """Drop the table with its key index, its summary and the folders that deletes moved partitions to."""
         moved = f"{self._root()}_versions" if self.exists() else None
-        for name in (self.keys_name, self.name):
+        for name in (self.keys_name, self.summary_name, self.name):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         if moved:
             remove_dir(self.spark, moved)
@@ -140,6 +143,7 @@ class PostTable:
                     self._laid_out(new.select(*self.columns, *PARTITION)).write.insertInto(self.name)
                     keys = fresh.select("symbol", "id", *PARTITION).join(known, ["symbol", "id"], "left_anti")
                     self._keys_laid_out(keys).write.insertInto(self.keys_name)
+                    self._add_to_summary(new, work)
             self.spark.catalog.refreshTable(self.name)
             return n_new
         finally:
@@ -187,25 +191,76 @@ class PostTable:
 
     @contextmanager
     def _changing_keys(self):
-        """Marks the index as behind the table until both are written; whatever fails in between, the mark stays and
-        the next insert makes the index anew."""
+        """Marks index and summary as behind the table until all are written; whatever fails in between, the mark stays
+        and the next insert makes both anew."""
         self.set_property("keys", "behind")
         yield
         self.set_property("keys", "whole")
 
     def repair_keys(self) -> bool:
-        """Make the key index from the table where it is missing or behind; whether that was needed."""
-        if self.spark.catalog.tableExists(self.keys_name) and self.get_property("keys") != "behind":
+        """Make key index and summary from the table where one is missing or behind; whether that was needed."""
+        if self.spark.catalog.tableExists(self.keys_name) and self._summary_is_whole():
             return False
         with self._changing_keys():
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.keys_name}")
-            self.spark.sql(
-                f"CREATE TABLE {self.keys_name} (symbol string, id string, symbol_bucket int, month string) "
-                f"USING parquet OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY ({', '.join(PARTITION)})"
-            )
+            for name, columns in ((self.keys_name, "symbol string, id string"), (self.summary_name, SUMMARY)):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                self.spark.sql(
+                    f"CREATE TABLE {name} ({columns}, symbol_bucket int, month string) "
+                    f"USING parquet OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY ({', '.join(PARTITION)})"
+                )
             self._keys_laid_out(self.read()).write.insertInto(self.keys_name)
+            self._summary_laid_out(self._partials(self.read())).write.insertInto(self.summary_name)
         return True
 
+    # Summary: count, oldest and newest (time, id) of each symbol and month. Such rows merge, so an insert adds those of
+    # its new rows alone, and a delete replaces those of the partitions it changes.
+
+    @property
+    def summary_name(self) -> str:
+        return f"{self.name}_summary"
+
+    def _summary_is_whole(self) -> bool:
+        return self.spark.catalog.tableExists(self.summary_name) and self.get_property("keys") != "behind"
+
+    @staticmethod
+    def _partials(rows: DataFrame) -> DataFrame:
+        place = F.struct("datetime", "id")
+        return rows.groupBy("symbol", *PARTITION).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(place).alias("oldest"), F.max(place).alias("newest")
+        )
+
+    @staticmethod
+    def _merged(partials: DataFrame, *by: str) -> DataFrame:
+        return partials.groupBy(*by).agg(
+            F.sum("n_rows").alias("n_rows"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest")
+        )
+
+    @staticmethod
+    def _summary_laid_out(partials: DataFrame) -> DataFrame:
+        placed = partials.select("symbol", "n_rows", "oldest", "newest", *PARTITION)
+        return placed.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, "symbol")
+
+    def _add_to_summary(self, new: DataFrame, work: str) -> None:
+        """Merge new rows into the summary of their partitions; one row a symbol and month is left."""
+        added = self._written(self._partials(new), f"{work}/added")
+        touched = added.select(*PARTITION).distinct().collect()  # a row a partition
+        self.spark.catalog.refreshTable(self.summary_name)
+        before = self.spark.table(self.summary_name).where(self._in_partitions(touched))
+        merged = self._merged(before.unionByName(added), "symbol", *PARTITION)
+        self._summary_laid_out(self._written(merged, f"{work}/merged")).write.insertInto(self.summary_name, overwrite=True)
+
+    def summary(self, symbols: list[str] | None = None) -> DataFrame:
+        """(symbol, n_rows, oldest, newest) of the stored symbols, the last two as (datetime, id), ties by id.
+
+        Read from the maintained summary; from the table itself while that is missing or behind.
+        """
+        if self._summary_is_whole():
+            self.spark.catalog.refreshTable(self.summary_name)
+            partials = self.spark.table(self.summary_name)
+        else:
+            partials = self._partials(self.read())
+        return self._merged(partials if symbols is None else partials.where(self._of_symbols(symbols)), "symbol")
+
     def delete_where(self, condition: Column, pruning: Column | None = None) -> int:
         """Delete the rows for which ``condition`` is true; returns how many.
 
@@ -274,14 +329,17 @@ class PostTable:
         return before
 
     def _replace_keys(self, touched: list, in_touched: Column) -> None:
-        """The index of changed partitions, from their rows."""
-        if not self.spark.catalog.tableExists(self.keys_name):
-            return
-        left = self.read().where(in_touched).select("symbol", "id", *PARTITION)
+        """Index and summary of changed partitions, from their rows."""
+        left = self.read().where(in_touched)
         specs = ", ".join(f"PARTITION (symbol_bucket={p['symbol_bucket']}, month='{p['month']}')" for p in touched)
-        self.spark.sql(f"ALTER TABLE {self.keys_name} DROP IF EXISTS {specs}")
-        self._keys_laid_out(left).write.insertInto(self.keys_name)
-        self.spark.catalog.refreshTable(self.keys_name)
+        for name, made in (
+            (self.keys_name, self._keys_laid_out(left)),
+            (self.summary_name, self._summary_laid_out(self._partials(left))),
+        ):
+            if self.spark.catalog.tableExists(name):
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+                made.write.insertInto(name)
+                self.spark.catalog.refreshTable(name)
 
     def drop_symbol(self, symbol: str) -> int:
         """Remove all rows of a symbol."""
@@ -300,19 +358,39 @@ class PostTable:
 
     def size(self, symbol: str) -> int | None:
         """Stored rows of a symbol, None where there is no table."""
-        return self.read([symbol]).count() if self.exists() else None
+        return self.summary([symbol]).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0] if self.exists() else None
 
     def sizes(self, symbols: DataFrame | None = None) -> DataFrame:
-        return size_by_symbol(self.read(), symbols)
+        """Stored rows per symbol; with ``symbols`` given, one row each, NULL where nothing is stored."""
+        counts = self.summary().select("symbol", "n_rows")
+        return counts if symbols is None else symbols.select("symbol").join(counts, "symbol", "left")
 
     def get_first(self, symbol: str | None = None, order_by: str = "datetime", order: str = "DESC") -> DataFrame:
-        """First row by any column, of one symbol (a top-1 scan of its bucket) or of each."""
+        """First row by any column, of one symbol (a top-1 scan of its bucket) or of each.
+
+        Of each by time, the summary names the rows, and only the partitions that hold them are read.
+        """
+        if order not in ("ASC", "DESC"):
+            raise ValueError(f"order must be ASC or DESC, not {order!r}")
+        if symbol is None and order_by == "datetime":
+            return self._named_by_summary("newest" if order == "DESC" else "oldest")
         if symbol is None:
             return get_first(self.read().select(*self.columns), order_by, order, stored=True)
         columns = [F.col(order_by), F.col("id")]
         keys = [c.desc_nulls_last() if order == "DESC" else c.asc_nulls_first() for c in columns]
         return self.read([symbol]).select(*self.columns).orderBy(*keys).limit(1)
 
+    def _named_by_summary(self, which: str) -> DataFrame:
+        named = self.summary().select(
+            "symbol",
+            F.col(which)["id"].alias("id"),
+            symbol_bucket(F.col("symbol"), self.n_buckets).alias("symbol_bucket"),
+            F.date_format(F.col(which)["datetime"], "yyyy-MM").alias("month"),
+        )
+        side, _ = broadcast_if_small(named)
+        holding = self._in_partitions(side.select(*PARTITION).distinct().collect())  # a row a partition
+        return self.read().where(holding).join(side, ["symbol", "id", *PARTITION], "left_semi").select(*self.columns)
+
     def newest(self, symbol: str | None = None) -> DataFrame:
         return self.get_first(symbol, "datetime", "DESC")
 

@@ -60,7 +60,8 @@ class Run:
 
         def make() -> DataFrame:
             self.table.create()
-            points = resume_points(symbols, self.table.read().select("symbol", "datetime"), self.start_date)
+            stored = self.table.summary().select("symbol", F.col("newest")["datetime"].alias("datetime"))
+            points = resume_points(symbols, stored, self.start_date)
             return recency_skip(points, self.asof, self.recency)
 
         return self._once("points", make)

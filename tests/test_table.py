@@ -169,6 +169,42 @@ def test_key_index_follows_inserts_and_deletes(spark, table):
     assert keys() == held()
 
 
+def test_summary_follows_inserts_and_deletes(spark, table, plan_of):
+    def told():
+        return sorted((r.symbol, r.n_rows, *r.oldest, *r.newest) for r in table.summary().collect())
+
+    def counted():
+        held: dict[str, list] = {}
+        for r in table.read().collect():
+            held.setdefault(r.symbol, []).append((r.datetime, r.id))
+        return sorted((s, len(v), *min(v), *max(v)) for s, v in held.items())
+
+    def newest():
+        return sorted((r.symbol, r.datetime, r.id) for r in table.newest().collect())
+
+    values = [(s, f"{m}{d}{k}", f"2024-0{m}-{d:02d}", 1) for s in "ABC" for m, d in ((1, 1), (1, 15), (2, 20)) for k in "xy"]
+    for part in (values[::2], values):
+        table.insert_ignore(rows(spark, part))
+        assert told() == counted()
+    assert spark.table(table.summary_name).count() == 6  # a row a symbol and month, however many inserts
+    assert newest() == [(r[0], r[4], r[5]) for r in counted()] and {r[2] for r in newest()} == {"220y"}
+    assert {r.id for r in table.oldest().collect()} == {"11x"}
+    plan = plan_of(table.summary())
+    assert "body" not in plan and f"{table.network}_summary" in plan
+    read = [f for f in table.newest().inputFiles() if "/month=" in f]
+    assert read and all("month=2024-02" in f for f in read)
+    table.delete_recent("2024-02-21", 24 * 3)
+    table.drop_symbol("B")
+    assert told() == counted() and len(told()) == 2 and table.size("A") == 4 and table.size("B") == 0
+    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('keys'='behind')")
+    spark.sql(f"TRUNCATE TABLE {table.summary_name}")
+    assert told() == counted() and newest() == [(r[0], r[4], r[5]) for r in counted()]  # from the table itself
+    table.insert_ignore(rows(spark, values))
+    assert told() == counted() and len(told()) == 3
+    with pytest.raises(ValueError, match="ASC or DESC"):
+        table.get_first(order="up")
+
+
 @pytest.mark.parametrize("broken", ["_swap", "_replace_keys"])
 def test_a_failed_delete_leaves_a_readable_table(spark, table, monkeypatch, broken):
     values = [(s, f"{d}", f"2024-0{m}-{d:02d}", 1) for s in "ABCDEF" for m, d in ((1, 1), (1, 15), (2, 20))]
