@@ -18,13 +18,18 @@ from postlake.operators.project import require_valid
 from postlake.operators.sizing import broadcast_if_small
 from postlake.operators.stats import get_first
 from postlake.schemas import stored_fields
-from postlake.session import remove_dir, shared_dir
+from postlake.session import folder_bytes, remove_dir, shared_dir
 
 PARTITION = ("symbol_bucket", "month")
 SUMMARY = (
     "symbol string, n_rows bigint, oldest struct<datetime: timestamp, id: string>, newest struct<datetime: timestamp, id: string>"
 )
 DEFAULT_BUCKETS = 64
+# Staged batches are read for writing in splits of this many bytes of uncompressed texts, so that a task sorts them in
+# memory. A task's rows of one partition become a file of their own where these hold so many on average, else partitions are
+# gathered first.
+SPLIT_BYTES = 384 * 1024 * 1024
+PIECE_BYTES = 2 * 1024 * 1024
 
 
 def symbol_bucket(symbol: Column, n_buckets: int) -> Column:
@@ -43,14 +48,16 @@ def scratch_database(spark: SparkSession) -> str:
     return create_database(spark, f"postlake_{uuid.uuid4().hex[:12]}", shared_dir(spark, "db"))
 
 
-def first_versions(batch: DataFrame, keys: tuple[str, ...] = ("symbol", "id")) -> DataFrame:
-    """One row per key: the earliest by ``update_datetime``, then ``datetime``, then row hash.
+def first_versions(
+    batch: DataFrame, keys: tuple[str, ...] = ("symbol", "id"), tie: Column | None = None
+) -> DataFrame:
+    """One row per key: the earliest by ``update_datetime``, then ``datetime``, then row hash (or ``tie``).
 
     An aggregate rather than a ranking window: copies are reduced before the shuffle, so a key that
     holds a third of the batch does not gather in one task.
     """
     rest = [c for c in batch.columns if c not in keys]
-    order = F.struct("update_datetime", "datetime", F.xxhash64(*rest))
+    order = F.struct("update_datetime", "datetime", F.xxhash64(*rest) if tie is None else tie)
     picked = batch.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("r"))
     return picked.select(*keys, "r.*").select(*batch.columns)
 
@@ -78,8 +85,8 @@ class PostTable:
         stored = ", ".join(f"{f.name} {f.type}" for f in self.fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({stored}, symbol string, symbol_bucket int, month string) "
-            f"USING parquet OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY ({', '.join(PARTITION)}) "
-            f"TBLPROPERTIES ('n_buckets'='{self.n_buckets}')"
+            f"USING parquet OPTIONS ('partitionOverwriteMode'='dynamic', 'compression'='zstd') "
+            f"PARTITIONED BY ({', '.join(PARTITION)}) TBLPROPERTIES ('n_buckets'='{self.n_buckets}')"
         )
         made = self.spark.sql(f"SHOW TBLPROPERTIES {self.name} ('n_buckets')").first()["value"]
         if made != str(self.n_buckets):
@@ -117,9 +124,13 @@ class PostTable:
 
     @staticmethod
     def _laid_out(rows: DataFrame) -> DataFrame:
-        """Gather partitions for writing. Rebalancing splits a hot partition over several tasks and
-        joins small ones; sorting by symbol lets row-group statistics find it."""
-        return rows.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, "symbol", "datetime")
+        """Sort rows for writing, each task its own; by symbol inside a partition, so that row-group statistics find it."""
+        return rows.sortWithinPartitions(*PARTITION, "symbol", "datetime")
+
+    @staticmethod
+    def _gathered(rows: DataFrame) -> DataFrame:
+        """Shuffle rows by partition, so that small ones share a file. A hot one is split over several tasks."""
+        return rows.hint("rebalance", *PARTITION)
 
     def insert_ignore(self, batch: DataFrame, stable_datetime: bool = False) -> int:
         """Append rows whose (symbol, id) is not stored yet, each once; returns how many.
@@ -128,27 +139,89 @@ class PostTable:
         Stored keys are looked up in the key index, in the buckets of the batch and between its smallest and largest
         id of each; no other column of the table is read. ``stable_datetime`` also limits them to the batch's months,
         which is exact as long as a post never changes its time. The batch is computed once, into the shared
-        folder; nothing is kept in executors.
+        folder; nothing is kept in executors. Which of its rows are new is told from their keys alone, so texts are
+        shuffled at most once, where partitions must be gathered (see ``PIECE_BYTES``), and else not at all.
         """
         self.create()
         self.repair_keys()
         work = shared_dir(self.spark, "insert")
         try:
-            fresh = self._written(first_versions(self._placed(batch)), f"{work}/fresh")
+            staged = self._staged(batch, f"{work}/batch")
+            narrow = staged.select("symbol", "id", *PARTITION, "update_datetime", "datetime", "_hash", "_bytes", "_row")
+            first = first_versions(narrow, tie=F.struct("_hash", "_row")).drop("update_datetime", "_hash")
+            fresh = self._written(first, f"{work}/fresh")
             known = self._written(self._known_keys(fresh, stable_datetime), f"{work}/known")
             n_new = fresh.count() - known.count()
             if n_new:
+                new = self._written(fresh.join(known, ["symbol", "id"], "left_anti"), f"{work}/new")
                 with self._changing_keys():
-                    new = fresh.join(known, ["symbol", "id"], "left_anti")
-                    self._laid_out(new.select(*self.columns, *PARTITION)).write.insertInto(self.name)
-                    keys = fresh.select("symbol", "id", *PARTITION).join(known, ["symbol", "id"], "left_anti")
-                    self._keys_laid_out(keys).write.insertInto(self.keys_name)
+                    self._append(staged, new, f"{work}/batch")
+                    self._keys_laid_out(new).write.insertInto(self.keys_name)
                     self._add_to_summary(new, work)
             self.spark.catalog.refreshTable(self.name)
             return n_new
         finally:
             remove_dir(self.spark, work)
 
+    def _staged(self, batch: DataFrame, path: str) -> DataFrame:
+        """The batch's rows as they come, written once, with a row number, a hash and the size of their texts.
+
+        Rows of one post under several symbols come together, and their texts take the room of one in a file.
+        """
+        placed = self._placed(batch)
+        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in self.fields if f.type == "string"]
+        marked = placed.withColumns(
+            {
+                "_hash": F.xxhash64(*[c for c in placed.columns if c not in ("symbol", "id")]),
+                "_bytes": sum(texts, F.lit(0)).cast("bigint"),
+                "_row": F.monotonically_increasing_id(),
+            }
+        )
+        schema = marked.schema
+        # small row groups, since one holds far more text than its size in the file
+        marked.write.option("compression", "zstd").option("parquet.block.size", 4 * 1024 * 1024).parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _append(self, staged: DataFrame, new: DataFrame, path: str) -> None:
+        """Write the staged rows that ``new`` names by number.
+
+        The numbers travel as bitmaps, one for 32,768 rows, so the staged rows meet them without a shuffle up to some
+        hundred million rows, and by one join on the block of rows beyond.
+        """
+        bits = new.groupBy(F.bitmap_bucket_number("_row").alias("_block")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_picked")
+        )
+        side, _ = broadcast_if_small(bits)
+        octet = "cast(conv(hex(substring(_picked, cast(_bit div 8 + 1 as int), 1)), 16, 10) as int)"
+        rows = (
+            staged.withColumns({"_block": F.bitmap_bucket_number("_row"), "_bit": F.bitmap_bit_position("_row")})
+            .join(side, "_block")
+            .where(F.expr(f"getbit({octet}, cast(_bit % 8 as int)) = 1"))
+            .select(*self.columns, *PARTITION)
+        )
+        task = F.shiftright("_row", 33)  # of the task that staged the row
+        pieces = new.groupBy(task.alias("task"), *PARTITION).agg(F.sum("_bytes").alias("n"))
+        n_pieces, n_tasks, n_bytes = pieces.agg(F.count("n"), F.count_distinct("task"), F.sum("n")).first()
+        staged_bytes = staged.agg(F.sum("_bytes")).first()[0]
+        n_pieces *= max(1, staged_bytes / SPLIT_BYTES / n_tasks)
+        if n_bytes < n_pieces * PIECE_BYTES:
+            rows = self._gathered(rows)
+        split = max(1, folder_bytes(self.spark, path) * SPLIT_BYTES // max(staged_bytes, 1))
+        with self._splits_of(split):
+            self._laid_out(rows).write.insertInto(self.name)
+
+    @contextmanager
+    def _splits_of(self, n_bytes: int):
+        """Files are read in splits of at most so many bytes meanwhile."""
+        key = "spark.sql.files.maxPartitionBytes"
+        before = self.spark.conf.get(key)
+        whole = int(self.spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        self.spark.conf.set(key, str(min(whole, n_bytes)))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def _written(self, rows: DataFrame, path: str) -> DataFrame:
         schema = rows.schema
         rows.write.parquet(path)
@@ -279,7 +352,9 @@ class PostTable:
         # a partition's rows can lie outside the pruning condition; then they are kept
         keep = self.read().where(in_touched).where(~F.coalesce(condition, F.lit(False)))
         version = f"{self._root()}_versions/{uuid.uuid4().hex[:12]}"
-        self._laid_out(keep.select(*self.columns, *PARTITION)).write.partitionBy(*PARTITION).parquet(version)
+        # rows stay in their partitions, so each task writes those of the files it read, without a shuffle
+        laid_out = self._laid_out(keep.select(*self.columns, *PARTITION))
+        laid_out.write.option("compression", "zstd").partitionBy(*PARTITION).parquet(version)
         written = self.spark.read.schema(keep.select(*self.columns, *PARTITION).schema).parquet(version)
         counts = {
             (p["symbol_bucket"], p["month"]): p["n"]

@@ -73,6 +73,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(folder)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files in a folder."""
+    folder, store = _folder(spark, path)
+    return store.getContentSummary(folder).getLength()
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder of our own, as :func:`shared_dir` names them."""
     folder, store = _folder(spark, path)

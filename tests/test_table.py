@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from postlake.operators import table as table_module
 from postlake.operators.table import PostTable, first_versions, route_by_network, scratch_database
 from postlake.schemas import COMMENT_FIELDS, REDDIT, TWEET_FIELDS, TWITTER
 
@@ -240,3 +241,38 @@ def test_nothing_is_persisted_and_work_folders_go(spark, table):
     with pytest.raises(Exception, match="required value"):
         table.insert_ignore(rows(spark, [("A", None, "2024-01-01", 1)]))
     assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) == kept
+
+
+def test_texts_are_not_shuffled(spark, table, monkeypatch, plan_of):
+    """Posts under many symbols, each twice: what is written comes straight from the staged files or the table's."""
+    laid, real = [], PostTable._laid_out
+    monkeypatch.setattr(table_module, "PIECE_BYTES", 0, raising=False)
+    monkeypatch.setattr(PostTable, "_laid_out", staticmethod(lambda df: laid.append(plan_of(real(df))) or real(df)))
+    values = [(s, f"{d}", f"2024-01-{d:02d}", v) for d in range(1, 9) for s in "ABCDEF" for v in (2, 1)]
+    assert table.insert_ignore(rows(spark, values[:24])) == 12
+    assert table.insert_ignore(rows(spark, values)) == 36
+    assert stored(table) == sorted((s, f"{d}", 1) for d in range(1, 9) for s in "ABCDEF")
+    assert table.delete_where(F.col("id") == "3") == 6
+    assert len(laid) == 3 and not [p for p in laid if "Exchange hashpartitioning" in p]
+
+
+@pytest.mark.parametrize("piece", [0, 1 << 40])
+def test_new_rows_of_a_long_batch_are_told_by_number(spark, table, monkeypatch, piece):
+    """More rows than a bitmap holds, every third key stored before, others given twice."""
+    monkeypatch.setattr(table_module, "PIECE_BYTES", piece, raising=False)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    n = F.col("version")
+    base = rows(spark, [("A", "0", "2024-01-01", 1)]).drop("version")
+    made = base.crossJoin(spark.range(0, 70_000, 1, 2).withColumnRenamed("id", "version")).select(
+        *[c for c in base.columns if c not in ("id", "update_datetime")],
+        F.floor(n / 2).cast("string").alias("id"),
+        F.timestamp_seconds(n).alias("update_datetime"),
+    )
+    assert table.insert_ignore(made.where("id % 3 = 0")) == 11_667
+    assert table.insert_ignore(made.withColumn("update_datetime", F.col("update_datetime") - F.expr("interval 1 hour"))) == 23_333
+    held = table.read().select("id", (F.unix_seconds("update_datetime") - 2 * F.col("id").cast("bigint")).alias("late"))
+    assert held.select("id").distinct().count() == held.count() == 35_000
+    assert {(r.known, r.late): r["count"] for r in held.groupBy((F.col("id") % 3 == 0).alias("known"), "late").count().collect()} == {
+        (True, 0): 11_667, (False, -3600): 23_333
+    }
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
