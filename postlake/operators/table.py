@@ -476,7 +476,8 @@ class PostTable:
 def route_by_network(rows: DataFrame, tables: dict[str, PostTable], network: str = "network") -> dict[str, int]:
     """Insert each row into its network's table; an unknown network stops the job before any write.
 
-    The rows are computed once, into one folder a network, and the check is part of that write.
+    The rows are computed once, as they come, and the check is part of that write. A network's insert reads the row groups
+    that hold rows of it.
     """
     spark = rows.sparkSession
     work = shared_dir(spark, "routed")
@@ -484,7 +485,8 @@ def route_by_network(rows: DataFrame, tables: dict[str, PostTable], network: str
     unknown = F.concat(F.lit("unknown network "), F.coalesce(F.col(network), F.lit("NULL")))
     checked = F.when(known, F.col(network)).otherwise(F.raise_error(unknown))
     try:
-        rows.withColumn(network, checked).write.partitionBy(network).parquet(work)
+        stored = rows.withColumn(network, checked).write.option("compression", "zstd")
+        stored.option("parquet.block.size", 4 * 1024 * 1024).parquet(work)
         routed = spark.read.schema(rows.schema).parquet(work)
         return {n: t.insert_ignore(routed.where(F.col(network) == n)) for n, t in tables.items()}
     finally:
