@@ -11,6 +11,7 @@ doc_ids each get their own row; a null doc_id is carried along. Without labelled
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,7 @@ MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 KEEP_PROBABILITY = 0.5
 TRAIN_ROWS = 1500
+FIT_ROWS = 256  # rows of a block while fitting
 BUCKETS = 1 << 14
 FAMILIES = 5  # words, word pairs, 3 and 4 characters, which of three words in a row are equal
 
@@ -182,21 +184,32 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, roun
     return model
 
 
+def _blocks(ids: list, shares: list) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows in blocks: which rows, where each begins, columns and shares. A block's arrays are all that is copied."""
+    for at in range(0, len(ids), FIT_ROWS):
+        some = slice(at, at + FIT_ROWS)
+        first = np.concatenate([[0], np.cumsum([len(i) for i in ids[some]])])
+        yield some, first, np.concatenate(ids[some]), np.concatenate(shares[some])
+
+
 def _fit(ids: list, shares: list, label: np.ndarray, rounds: int, decay: float = 1e-3, rate: float = 0.05) -> Model:
     """Logistic loss by Adam over all rows; a column is scaled by its root mean square, rare columns are damped."""
-    first = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-    column, value = np.concatenate(ids), np.concatenate(shares).astype(np.float64)
     size, n = FAMILIES * BUCKETS, len(label)
-    row = np.repeat(np.arange(n), np.diff(first))
-    rms = np.sqrt(np.bincount(column, value**2, size) / n)
+    squares = np.zeros(size)
+    for _, _, column, share in _blocks(ids, shares):
+        squares += np.bincount(column, share.astype(np.float64) ** 2, size)
+    rms = np.sqrt(squares / n)
     scale = 1 / (rms + 0.05 * rms.max() + 1e-9)
-    value = value * scale[column]
     w, b = np.zeros(size), float(np.log(label.mean() / (1 - label.mean())))
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(b + per_row(value * w[column], first), -500, 500)))
-        error = (p - label) / n
-        g, gb = np.bincount(column, value * error[row], size) + decay * w / n, error.sum()
+        g, gb = decay * w / n, 0.0
+        for some, first, column, share in _blocks(ids, shares):
+            value = share * scale[column]
+            p = 1 / (1 + np.exp(-np.clip(b + per_row(value * w[column], first), -500, 500)))
+            error = (p - label[some]) / n
+            g += np.bincount(column, value * np.repeat(error, np.diff(first)), size)
+            gb += error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         fix, fix2 = 1 - 0.9**t, 1 - 0.999**t

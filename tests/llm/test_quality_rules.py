@@ -1,7 +1,9 @@
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -55,3 +57,19 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
     held = [r for r in labels if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
     assert sum(out[r.doc_id].kept == (r.quality == 1) for r in held) / len(held) > 0.9
+
+
+def test_fitting_copies_a_block_of_rows_at_a_time(monkeypatch):
+    """Before, the driver held several whole copies of the sample's columns and shares."""
+    rng = np.random.default_rng(5)
+    ids = [np.unique(rng.integers(0, q.FAMILIES * q.BUCKETS, 1000)).astype(np.int32) for _ in range(1500)]
+    shares = [rng.random(len(i)).astype(np.float32) for i in ids]
+    label = (np.arange(1500) % 3 == 0).astype(float)
+    tracemalloc.start()
+    model = q._fit(ids, shares, label, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    monkeypatch.setattr(q, "FIT_ROWS", 1500)
+    whole = q._fit(ids, shares, label, 2)
+    assert np.allclose(model.weights, whole.weights, rtol=1e-5) and np.isclose(model.bias, whole.bias)
