@@ -12,8 +12,8 @@ _WHITESPACE_RUN = rf"[[^!-~]&&[{WHITESPACE}]]+"
 MAX_BODY_CHARS = 2000
 TRUNCATION_MARK = "[...]"
 
-_NOT_WORD = r"[^\p{L}\p{M}\p{N}]+"
-_NOT_WORD_OR_CASHTAG = r"[^\p{L}\p{M}\p{N}$]+"
+_NOT_WORD = r"[^\p{L}\p{M}\p{N}]"
+_NOT_WORD_OR_CASHTAG = r"[^\p{L}\p{M}\p{N}$]"
 
 
 def normalize_text(text: Column) -> Column:
@@ -36,10 +36,14 @@ def truncate_sentences(text: Column, limit: int = MAX_BODY_CHARS) -> Column:
     return F.when(F.length(text) > limit, F.concat(cut, F.lit(TRUNCATION_MARK))).otherwise(text)
 
 
+def not_word(cashtags: bool = False) -> str:
+    """Pattern of a character that is in no word."""
+    return _NOT_WORD_OR_CASHTAG if cashtags else _NOT_WORD
+
+
 def token_string(text: Column, cashtags: bool = False) -> Column:
     """Lower-cased words of a text, joined by single spaces; ``cashtags`` keeps ``$`` in words."""
-    gap = _NOT_WORD_OR_CASHTAG if cashtags else _NOT_WORD
-    return F.trim(F.regexp_replace(F.lower(text), gap, " "))
+    return F.trim(F.regexp_replace(F.lower(text), not_word(cashtags) + "+", " "))
 
 
 def padded_tokens(text: Column, cashtags: bool = False) -> Column:

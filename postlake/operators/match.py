@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.text import any_of, has_phrase, padded_tokens, token_string
+from postlake.operators.anchors import found_anchors, found_words, wanted_hashes
 from postlake.operators.enrich import CONTEXT_WORDS
 from postlake.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, compute_once, stored
 
@@ -28,8 +29,12 @@ def term_document_counts(posts: DataFrame, terms: DataFrame, text: str = "body",
         .where(F.col("token") != "")
         .distinct()
     )
-    wanted, _ = broadcast_if_small(wanted)
-    tokens = posts.select(F.explode(F.array_distinct(_words(padded_tokens(F.col(text), cashtags)))).alias("token"))
+    wanted, small = broadcast_if_small(wanted)
+    if small:
+        words = found_words(posts.sparkSession, F.col(text), cashtags, wanted_hashes(wanted))
+    else:
+        words = _words(padded_tokens(F.col(text), cashtags))
+    tokens = posts.select(F.explode(F.array_distinct(words)).alias("token"))
     return tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n_posts"))
 
 
@@ -129,14 +134,21 @@ def match_symbols(
     the terms' further columns.
 
     Matching is by whole words, ignoring case. With terms of a measured small size the posts are
-    not shuffled at all; beyond that :func:`_match_by_shuffle` gives the same rows.
+    not shuffled at all, and words that are no anchor are left out before they are rows; beyond that
+    :func:`_match_by_shuffle` gives the same rows.
     """
     ready, small = broadcast_if_small(prepare_terms(terms, cashtags, document_counts), max_rows, max_bytes)
-    padded = compute_once(posts, PADDED, padded_tokens(F.col(text), cashtags))
     out = [*posts.columns, *[c for c in ready.columns if c not in ("needs_context", "anchor") and c[0] != "_"]]
     if not small:
+        padded = compute_once(posts, PADDED, padded_tokens(F.col(text), cashtags))
         return _match_by_shuffle(padded, ready, id_cols, context_words).select(*out)
-    words = _post_anchors(padded, "anchor")
+    made = found_anchors(posts.sparkSession, F.col(text), cashtags, wanted_hashes(ready.select("anchor")))
+    found = compute_once(posts, "_found", made)
+    words = found.select(
+        *posts.columns,
+        F.col("_found.padded").alias(PADDED),
+        F.explode(F.array_distinct("_found.anchors")).alias("anchor"),
+    )
     return _verified(words.join(ready, "anchor"), context_words, has_anchor=True).select(*out)
 
 

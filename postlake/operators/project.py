@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.functions.text import normalize_text, truncate_sentences
+from postlake.functions.text import truncate_sentences
 from postlake.functions.times import (
     as_ts,
     date_time_text,
@@ -17,6 +17,7 @@ from postlake.functions.times import (
     parse_epoch,
     parse_tweet_time,
 )
+from postlake.operators.anchors import squeezed
 from postlake.operators.sizing import compute_once
 from postlake.schemas import Field, stored_fields
 
@@ -35,7 +36,8 @@ def entities_json(df: DataFrame) -> DataFrame:
 def derive_tweets(tweets: DataFrame, asof: Column | dt.datetime | str) -> DataFrame:
     """Times, clean text, entity text and ids of flattened tweets."""
     user = F.col("user_data")
-    out = compute_once(tweets, "full_text", normalize_text(F.col("full_text"))).withColumns(
+    clean = squeezed(tweets.sparkSession, F.col("full_text"))
+    out = compute_once(tweets, "full_text", clean).withColumns(
         {
             "datetime": parse_tweet_time(F.col("created_at")),
             "user_id": F.coalesce("user_id", "user_id_str"),
@@ -58,7 +60,7 @@ def derive_comments(comments: DataFrame, asof: Column | dt.datetime | str) -> Da
 
 def clean_bodies(comments: DataFrame, column: str = "body") -> DataFrame:
     """White space squeezed."""
-    return compute_once(comments, column, normalize_text(F.col(column)))
+    return compute_once(comments, column, squeezed(comments.sparkSession, F.col(column)))
 
 
 def truncate_bodies(comments: DataFrame, column: str = "body") -> DataFrame:
